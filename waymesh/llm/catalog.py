@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import op02_token_counts, op06_token_ids
+from waymesh.llm import op02_token_counts, op06_token_ids, op10_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op02_token_counts.query,
         "op6_token_ids": op06_token_ids.query,
+        "op10_minhash": op10_minhash.query,
     }
 
 
