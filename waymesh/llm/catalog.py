@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import op02_token_counts, op06_token_ids, op09_mixing, op10_minhash
+from waymesh.llm import op02_token_counts, op05_decontamination, op06_token_ids, op09_mixing, op10_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_counts": op02_token_counts.query,
+        "op5_decontamination": op05_decontamination.query,
         "op6_token_ids": op06_token_ids.query,
         "op9_mixing": op09_mixing.query,
         "op10_minhash": op10_minhash.query,
