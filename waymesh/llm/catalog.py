@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import op01_language, op02_token_counts, op05_decontamination, op06_token_ids, op09_mixing, op10_minhash
+from waymesh.llm import op01_language, op02_token_counts, op03_fingerprints, op05_decontamination, op06_token_ids, op09_mixing, op10_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op01_language.query,
         "op2_token_counts": op02_token_counts.query,
+        "op3_fingerprints": op03_fingerprints.query,
         "op5_decontamination": op05_decontamination.query,
         "op6_token_ids": op06_token_ids.query,
         "op9_mixing": op09_mixing.query,
