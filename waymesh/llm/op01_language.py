@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ UNKNOWN = "und"
 SAMPLE = 3000
 SWITCH_PENALTY = 12.0
 SLOTS_LOG2 = 20
+#: Below this, ``accepted`` takes the language for unknown.
+LEAST_SCORE = 0.3
 _END = 0x110000
 _PART = 3_000_000
 _BARRED = -30.0
@@ -269,6 +272,20 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) ->
     return lean.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The rows of docs whose language is known: not ``und``, and with at least this score. A null lang is
+    filled with the prediction; a given one is kept. Without a model no row has a known language."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def told(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(predict(text.tolist(), sent.value, penalty), columns=["lang_pred", "score"])
+
+    judged = docs.withColumn("__told", told(F.col("text").cast("string")))
+    kept = judged.where((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= least_score))
+    return kept.withColumn("lang", F.coalesce("lang", F.col("__told.lang_pred"))).select(*docs.columns)
+
+
 def spans(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
     """doc_id, start, end (code points), lang: a row for each maximal run of words of one language."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
