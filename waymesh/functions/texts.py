@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymesh.functions.types import kind
+
 # The Base58 alphabet used for addresses.
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 
@@ -56,11 +58,11 @@ def _decode58(text: str | None) -> bytes | None:
     return b"\0" * zeros + n.to_bytes((n.bit_length() + 7) // 8, "big")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(kind("string"))
 def base58(data: pd.Series) -> pd.Series:
     return data.map(_encode58)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(kind("binary"))
 def base58_bytes(text: pd.Series) -> pd.Series:
     return text.map(_decode58)

@@ -1,17 +1,523 @@
-"""Every registered query with, where SQL can express it, its DuckDB text."""
+"""Every registered query with, where SQL can express it, its DuckDB text.
+
+Queries run on the derived network of ``fixture``. Lists are shown as joined text, so both engines compare the
+same characters. Geometry and tile queries with an oracle take each unmerged section as a segment.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waymesh.functions import ids, lines, tags, texts, tiles
+from waymesh.operators import network, segments, streets
+from waymesh.operators.durable import checkpointed
+from waymesh.plans import fixture
+from waymesh.sources import json_tiles, protobuf, tile_files
 
 Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+ZOOM = 12
+
+
+def _query(sql: str | None = None, name: str | None = None):
+    """Register a function as a query; ``sql`` follows the shared table expressions."""
+
+    def add(run: Query) -> Query:
+        key = name or run.__name__
+        _QUERIES[key] = run
+        if sql is not None:
+            _ORACLES[key] = f"WITH {fixture.SQL}{sql}" if sql.lstrip().startswith(("SELECT", ",")) else sql
+        return run
+
+    return add
+
+
+def _joined(values: Column) -> Column:
+    return F.array_join(F.transform(values, lambda v: v.cast("string")), ",")
+
+
+# --- the stages of the network, each built on the one before -------------------------------------------------
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    return network.way_node_links(network.highway_ways(fixture.ways(spark, d)))
+
+
+def _kept(spark: SparkSession, d: str) -> DataFrame:
+    ways = network.highway_ways(fixture.ways(spark, d))
+    points = network.way_points(network.way_node_links(ways), network.node_positions(fixture.nodes(spark, d)))
+    return network.ways_at_level(ways, network.way_nodes(points))
+
+
+def _filtered(spark: SparkSession, d: str) -> DataFrame:
+    return network.filtered_links(_links(spark, d), _kept(spark, d))
+
+
+def _crossings(spark: SparkSession, d: str) -> DataFrame:
+    return network.intersections(_filtered(spark, d))
+
+
+def _sections_of(ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sections, merging nodes) of a network; what both need is computed once."""
+    ways = network.highway_ways(ways)
+    links = network.way_node_links(ways)
+    kept = checkpointed(network.ways_at_level(ways, network.way_nodes(network.way_points(links, network.node_positions(nodes)))))
+    found = checkpointed(network.intersections(network.filtered_links(links, kept)))
+    points = network.grouped_split_points(network.way_split_points(network.splitting(found)))
+    return network.way_sections(kept, points), network.merging(found)
+
+
+def _sections(spark: SparkSession, d: str) -> DataFrame:
+    points = network.grouped_split_points(network.way_split_points(network.splitting(_crossings(spark, d))))
+    return network.way_sections(_kept(spark, d), points)
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    return segments.initial_segments(_sections(spark, d))
+
+
+def _merged(spark: SparkSession, d: str, chain: bool = False) -> DataFrame:
+    ways, nodes = (fixture.chain_ways, fixture.chain_nodes) if chain else (fixture.ways, fixture.nodes)
+    sections, joints = _sections_of(ways(spark, d), nodes(spark, d))
+    return segments.merged_segments(segments.initial_segments(sections), joints, checkpointed)
+
+
+def _geometries(spark: SparkSession, d: str) -> DataFrame:
+    return streets.segment_geometries(_segments(spark, d))
+
+
+def _references(spark: SparkSession, d: str) -> DataFrame:
+    return streets.references(checkpointed(streets.segment_geometries(_merged(spark, d))))
+
+
+# --- projections, filters, predicates ------------------------------------------------------------------------
+
+
+@_query("SELECT way_id, highway FROM ways")
+def highway_ways(spark, d):
+    return network.highway_ways(fixture.ways(spark, d)).select(F.col("id").alias("way_id"), F.col("tags")["highway"].alias("highway"))
+
+
+@_query("SELECT node_id, lat, lon FROM nodes")
+def node_positions(spark, d):
+    return network.node_positions(fixture.nodes(spark, d))
+
+
+@_query("SELECT way_id, node_id, ord, terminal FROM way_node_links")
+def way_node_links(spark, d):
+    return _links(spark, d)
+
+
+for _name, _function, _column in (("road_class", tags.road_class, "road_class"), ("one_way", tags.is_one_way, "one_way"), ("is_link", tags.is_link, "link"), ("is_roundabout", tags.is_roundabout, "roundabout"), ("way_name", tags.way_name, "name")):
+    _query(f"SELECT way_id, {_column} FROM attributes", _name)(lambda spark, d, f=_function, c=_column: fixture.ways(spark, d).select(F.col("id").alias("way_id"), f(F.col("tags")).alias(c)))
+
+
+@_query("SELECT level, way_id, name, one_way, roundabout, link, road_class, n AS n_nodes FROM kept JOIN (SELECT way_id, CAST(count(*) AS INTEGER) AS n FROM links GROUP BY way_id) USING (way_id)")
+def ways_at_level(spark, d):
+    return _kept(spark, d).select("level", "way_id", "name", "one_way", "roundabout", "link", "road_class", F.size("nodes").alias("n_nodes"))
+
+
+@_query("SELECT level, node_id, n_terminating, n_intersecting FROM splitting")
+def splitting_intersections(spark, d):
+    return _sizes(network.splitting(_crossings(spark, d)))
+
+
+@_query("SELECT level, node_id, n_terminating, n_intersecting FROM merging")
+def merging_intersections(spark, d):
+    return _sizes(network.merging(_crossings(spark, d)))
+
+
+def _sizes(found: DataFrame) -> DataFrame:
+    return found.select("level", "node_id", F.size("terminating").cast("long").alias("n_terminating"), F.size("intersecting").cast("long").alias("n_intersecting"))
+
+
+@_query("SELECT level, way_id, node_id FROM way_split_points")
+def way_split_points(spark, d):
+    return network.way_split_points(network.splitting(_crossings(spark, d)))
+
+
+@_query("SELECT level, way_id, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY node_id) AS split FROM (SELECT DISTINCT * FROM way_split_points) GROUP BY level, way_id")
+def grouped_split_points(spark, d):
+    return network.grouped_split_points(way_split_points(spark, d)).select("level", "way_id", _joined(F.col("split")).alias("split"))
+
+
+@_query("SELECT level, way_id, start_idx, n_nodes, node_ids FROM sections")
+def way_sections(spark, d):
+    rows = _sections(spark, d)
+    return rows.select("level", "way_id", "start_idx", F.size("nodes").alias("n_nodes"), _joined(F.transform("nodes", lambda p: p["node_id"])).alias("node_ids"))
+
+
+@_query("SELECT level, seg_key, one_way, link, roundabout, name, road_class FROM segments")
+def initial_segments(spark, d):
+    first = F.get("sections", F.lit(0))
+    return _segments(spark, d).select("level", "seg_key", "one_way", "link", "roundabout", first["name"].alias("name"), first["road_class"].alias("road_class"))
+
+
+# --- joins and aggregations ----------------------------------------------------------------------------------
+
+
+@_query("SELECT way_id, node_id, ord, terminal, lat, lon FROM way_node_links JOIN nodes USING (node_id)")
+def way_points(spark, d):
+    return network.way_points(_links(spark, d), network.node_positions(fixture.nodes(spark, d)))
+
+
+@_query("SELECT way_id, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord) AS node_ids FROM links GROUP BY way_id")
+def way_nodes(spark, d):
+    return network.way_nodes(way_points(spark, d)).select("way_id", _joined(F.transform("nodes", lambda p: p["node_id"])).alias("node_ids"))
+
+
+@_query("SELECT level, way_id, node_id, ord, terminal FROM filtered")
+def filtered_links(spark, d):
+    return _filtered(spark, d)
+
+
+@_query("SELECT level, node_id, coalesce(terminating, '') AS terminating, coalesce(intersecting, '') AS intersecting FROM intersections")
+def intersections(spark, d):
+    return _crossings(spark, d).select("level", "node_id", _joined(F.col("terminating")).alias("terminating"), _joined(F.col("intersecting")).alias("intersecting"))
+
+
+_ENDS = """,
+ends AS (SELECT *, unnest([first_node, last_node]) AS node_id FROM segments),
+flagged AS (SELECT e.*, m.node_id IS NOT NULL AS merging FROM ends e LEFT JOIN merging m ON m.level = e.level AND m.node_id = e.node_id),
+pairs AS (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key FROM flagged WHERE merging GROUP BY level, node_id HAVING count(*) = 2),
+judged AS (
+  SELECT p.*, a.one_way = b.one_way AND a.link = b.link AND a.roundabout = b.roundabout
+    AND (NOT (a.one_way OR a.roundabout) OR b.first_node = a.last_node OR a.first_node = b.last_node)
+    AND a.way_id <> b.way_id AND a.first_node <> b.first_node AND a.last_node <> b.last_node AS mergeable
+  FROM pairs p JOIN segments a ON a.level = p.level AND a.seg_key = p.a_key JOIN segments b ON b.level = p.level AND b.seg_key = p.b_key),
+cleaned AS (SELECT level, node_id, unnest([a_key, b_key]) AS seg_key FROM judged WHERE mergeable),
+joints AS (SELECT level, seg_key, arg_min(node_id, md5(CAST(node_id AS VARCHAR) || ',1')) AS node_id FROM cleaned GROUP BY level, seg_key),
+placed AS (SELECT s.*, j.node_id FROM segments s LEFT JOIN joints j ON j.level = s.level AND j.seg_key = s.seg_key),
+met AS (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key, count(*) AS n FROM placed WHERE node_id IS NOT NULL AND first_node <> last_node GROUP BY level, node_id),
+round AS (
+  SELECT level, seg_key, 'final' AS status, 1 AS n_sections, first_node AS first, last_node AS last FROM placed WHERE node_id IS NULL OR first_node = last_node
+  UNION ALL
+  SELECT m.level, m.a_key, CASE WHEN m.n = 2 THEN 'merged' ELSE 'waiting' END, CAST(m.n AS INTEGER),
+    CASE WHEN m.n = 1 OR b.first_node = a.last_node THEN a.first_node WHEN a.first_node = b.last_node THEN b.first_node WHEN a.first_node = b.first_node THEN b.last_node ELSE a.first_node END,
+    CASE WHEN m.n = 1 THEN a.last_node WHEN b.first_node = a.last_node THEN b.last_node WHEN a.first_node = b.last_node THEN a.last_node WHEN a.first_node = b.first_node THEN a.last_node ELSE b.first_node END
+  FROM met m JOIN segments a ON a.level = m.level AND a.seg_key = m.a_key JOIN segments b ON b.level = m.level AND b.seg_key = m.b_key)
+"""
+
+
+@_query(_ENDS + "SELECT level, seg_key, node_id FROM ends")
+def segment_ends(spark, d):
+    return segments.segment_ends(_segments(spark, d)).select("level", "seg_key", "node_id")
+
+
+def _flagged(spark, d):
+    return segments.segment_end_merging(segments.segment_ends(_segments(spark, d)), network.merging(_crossings(spark, d)))
+
+
+@_query(_ENDS + "SELECT level, seg_key, node_id, merging FROM flagged")
+def segment_end_merging(spark, d):
+    return _flagged(spark, d).select("level", "seg_key", "node_id", "merging")
+
+
+@_query(_ENDS + "SELECT level, node_id, a_key, b_key, mergeable FROM judged")
+def can_merge(spark, d):
+    held = F.array_sort(F.collect_list(F.struct("seg_key", "one_way", "link", "roundabout", "first", "last", "ends")))
+    pairs = _flagged(spark, d).where("merging").groupBy("level", "node_id").agg(held.alias("pair")).where(F.size("pair") == 2)
+    a, b = F.get("pair", F.lit(0)), F.get("pair", F.lit(1))
+    return pairs.select("level", "node_id", a["seg_key"].alias("a_key"), b["seg_key"].alias("b_key"), segments.can_merge(a, b).alias("mergeable"))
+
+
+@_query(_ENDS + "SELECT level, node_id, seg_key FROM cleaned")
+def cleaned_segment_ends(spark, d):
+    return segments.cleaned_segment_ends(_flagged(spark, d))
+
+
+@_query(_ENDS + "SELECT level, seg_key, node_id FROM joints")
+def dedup_segment_ends(spark, d):
+    return segments.dedup_segment_ends(cleaned_segment_ends(spark, d), 1)
+
+
+@_query(_ENDS + "SELECT level, seg_key, status, n_sections, first, last FROM round")
+def merge_round(spark, d):
+    sections, joints = _sections_of(fixture.ways(spark, d), fixture.nodes(spark, d))
+    rows = segments.outline(segments.merge_round(segments.initial_segments(sections), joints))
+    return rows.select("level", "seg_key", "status", F.size("sections").alias("n_sections"), "first", "last")
+
+
+@_query()
+def merged_segments(spark, d):
+    rows = segments.outline(_merged(spark, d))
+    return rows.select("level", "seg_key", F.size("sections").alias("n_sections"), "first", "last", _joined(streets.way_ids(F.col("sections"))).alias("way_ids"))
+
+
+@_query("SELECT level, CAST(count(*) AS BIGINT) AS n_sections, CAST(sum(way_id) AS BIGINT) AS sum_way_ids FROM segments GROUP BY level")
+def merged_totals(spark, d):
+    """Merging loses no section: what the merged segments hold is what there was before."""
+    each = _merged(spark, d).select("level", F.explode("sections").alias("s"))
+    return each.groupBy("level").agg(F.count("*").alias("n_sections"), F.sum("s.way_id").alias("sum_way_ids"))
+
+
+@_query(
+    """WITH w AS (SELECT p_partkey AS w, (p_partkey // 37) % 2 = 0 AS one_way, p_partkey % 23 = 0 AS turned FROM part)
+SELECT CAST(count(*) AS BIGINT) AS n_sections, CAST(sum(w) AS BIGINT) AS sum_way_ids FROM w"""
+)
+def chain_totals(spark, d):
+    each = _merged(spark, d, chain=True).where("level = 6").select(F.explode("sections").alias("s"))
+    return each.agg(F.count("*").alias("n_sections"), F.sum("s.way_id").alias("sum_way_ids"))
+
+
+@_query()
+def chain_segments(spark, d):
+    rows = segments.outline(_merged(spark, d, chain=True))
+    return rows.select("level", "seg_key", F.size("sections").alias("n_sections"), "first", "last")
+
+
+@_query(",m AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus IN ('O', 'F')) AS rings, count(*) AS n FROM orders GROUP BY o_custkey) SELECT o_custkey AS id, CAST(n AS INTEGER) AS n_members FROM m WHERE rings = 0")
+def non_area_relations(spark, d):
+    return network.non_area_relations(fixture.relations(spark, d)).select("id", F.size("members").alias("n_members"))
+
+
+# --- segments as streets, on unmerged sections ----------------------------------------------------------------
+
+_LINE = """,
+kept_nodes AS (
+  SELECT * FROM (SELECT *, lag(node_id) OVER (PARTITION BY level, way_id, start_idx ORDER BY ord) AS before FROM section_nodes) WHERE before IS NULL OR before <> node_id),
+line AS (
+  SELECT level, way_id, start_idx, CAST(count(*) AS INTEGER) AS n_points, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord) AS line_nodes,
+    md5('Geometry' || string_agg(printf(' %.5f %.5f', lon, lat), '' ORDER BY ord)) AS geometry_id,
+    arg_min(node_id, ord) AS start_node, arg_max(node_id, ord) AS end_node,
+    arg_min(lon, ord) AS start_lon, arg_min(lat, ord) AS start_lat, arg_max(lon, ord) AS end_lon, arg_max(lat, ord) AS end_lat
+  FROM kept_nodes GROUP BY level, way_id, start_idx HAVING count(*) >= 2),
+streets AS (
+  SELECT s.*, n_points, line_nodes, geometry_id, start_node, end_node, start_lon, start_lat, end_lon, end_lat,
+    CAST(CASE WHEN link THEN 6 WHEN roundabout THEN 4 WHEN road_class = 0 THEN 1 WHEN road_class IN (1, 2) AND one_way THEN 2 WHEN road_class BETWEEN 1 AND 6 THEN 3 ELSE 7 END AS INTEGER) AS form_of_way
+  FROM segments s JOIN line l ON l.level = s.level AND l.way_id = s.way_id AND l.start_idx = s.start_idx),
+unique_streets AS (SELECT level, geometry_id, min(seg_key) AS seg_key FROM streets GROUP BY level, geometry_id)
+"""
+_TILE = """,
+pixels AS (
+  SELECT node_id, lon, lat,
+    CAST(floor(floor(least(greatest((lon + 180.0) / 360.0 * 1048576.0 + 0.5, 0.0), 1048575.0)) / 256) AS INTEGER) AS x,
+    CAST(floor(floor(least(greatest((0.5 - ln((1.0 + sin(lat * 3.141592653589793 / 180.0)) / (1.0 - sin(lat * 3.141592653589793 / 180.0))) / (4 * 3.141592653589793)) * 1048576.0 + 0.5, 0.0), 1048575.0)) / 256) AS INTEGER) AS y
+  FROM nodes),
+tiled AS (SELECT node_id, '12-' || x || '-' || y AS tile FROM pixels),
+geometry_tiles AS (
+  SELECT DISTINCT k.level, s.seg_key, t.tile FROM kept_nodes k JOIN streets s ON s.level = k.level AND s.way_id = k.way_id AND s.start_idx = k.start_idx JOIN tiled t ON t.node_id = k.node_id)
+"""
+
+
+@_query(_LINE + "SELECT level, seg_key, n_points, line_nodes FROM streets")
+def segment_geometry(spark, d):
+    rows = _segments(spark, d).withColumn("line", streets.polyline(F.col("sections"))).where(F.size("line") >= 2)
+    return rows.select("level", "seg_key", F.size("line").alias("n_points"), _joined(F.transform("line", lambda p: p["node_id"])).alias("line_nodes"))
+
+
+@_query(_LINE + "SELECT level, seg_key, geometry_id FROM streets")
+def geometry_id(spark, d):
+    return _geometries(spark, d).select("level", "seg_key", "geometry_id")
+
+
+@_query(_LINE + "SELECT level, seg_key, form_of_way FROM streets")
+def form_of_way(spark, d):
+    return _geometries(spark, d).select("level", "seg_key", "form_of_way")
+
+
+@_query(_LINE + "SELECT level, seg_key, road_class FROM streets")
+def geometry_road_class(spark, d):
+    return _geometries(spark, d).select("level", "seg_key", "road_class")
+
+
+@_query("SELECT level, seg_key, road_class FROM segments")
+def segment_road_class(spark, d):
+    return _segments(spark, d).select("level", "seg_key", streets.leading_class(F.col("sections")).alias("road_class"))
+
+
+@_query("SELECT level, seg_key, CAST(way_id AS VARCHAR) AS way_ids, true AS has_way FROM segments")
+def segment_way_ids(spark, d):
+    s = F.col("sections")
+    return _segments(spark, d).select("level", "seg_key", _joined(streets.way_ids(s)).alias("way_ids"), streets.contains_way(s, F.get(s, F.lit(0))["way_id"]).alias("has_way"))
+
+
+@_query("SELECT level, s.seg_key, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord DESC) AS node_ids FROM section_nodes JOIN segments s USING (level, way_id, start_idx) GROUP BY level, s.seg_key")
+def reverse_segment(spark, d):
+    turned = segments.reverse_sections(F.col("sections"))
+    nodes = F.flatten(F.transform(turned, lambda s: F.transform(s["nodes"], lambda p: p["node_id"])))
+    return _segments(spark, d).select("level", "seg_key", _joined(nodes).alias("node_ids"))
+
+
+@_query("SELECT level, seg_key FROM segments WHERE first_node = last_node")
+def loop_segments(spark, d):
+    return segments.outline(_segments(spark, d)).where("first = last").select("level", "seg_key")
+
+
+@_query(_LINE + "SELECT level, seg_key, name, CAST(1 AS INTEGER) AS n_sections, CAST(NULL AS VARCHAR) AS section_name, node_ids FROM streets")
+def osm_metadata(spark, d):
+    first = F.get("metadata.way_sections", F.lit(0))
+    return _geometries(spark, d).select("level", "seg_key", F.col("metadata.name").alias("name"), F.size("metadata.way_sections").alias("n_sections"), first["name"].alias("section_name"), _joined(first["node_ids"]).alias("node_ids"))
+
+
+@_query(_LINE + "SELECT level, geometry_id, seg_key FROM unique_streets")
+def street_geometries(spark, d):
+    return streets.street_geometries(_geometries(spark, d)).select("level", "geometry_id", "seg_key")
+
+
+_OF = "md5(printf('Intersection %.5f %.5f', {0}_lon, {0}_lat) || ' ' || {0}_node)"
+
+
+@_query(_LINE + f"SELECT level, seg_key, {_OF.format('start')} AS start_intersection, {_OF.format('end')} AS end_intersection FROM streets")
+def lpr_intersections(spark, d):
+    a, z = F.get("points", F.lit(0)), F.element_at("points", -1)
+    return _geometries(spark, d).select("level", "seg_key", ids.intersection_id(a["lon"], a["lat"], F.col("start_node")).alias("start_intersection"), ids.intersection_id(z["lon"], z["lat"], F.col("end_node")).alias("end_intersection"))
+
+
+@_query(_LINE + _TILE + "SELECT level, seg_key, tile FROM geometry_tiles")
+def tiled_geometries(spark, d):
+    return streets.tiled_geometries(_geometries(spark, d), ZOOM).select("level", "seg_key", "tile")
+
+
+@_query(_LINE + _TILE + "SELECT DISTINCT level, node_id, tile FROM (SELECT level, unnest([start_node, end_node]) AS node_id FROM streets) JOIN tiled USING (node_id)")
+def tiled_intersections(spark, d):
+    end = lambda p, node: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), F.col(node).alias("node_id"))
+    ends = F.array(end(F.get("points", F.lit(0)), "start_node"), end(F.element_at("points", -1), "end_node"))
+    points = _geometries(spark, d).select("level", F.explode(ends).alias("p")).select("level", "p.*").distinct()
+    return streets.tiled_intersections(points, ZOOM).select("level", "node_id", "tile")
+
+
+@_query(_LINE + _TILE + "SELECT level, tile, CAST(count(*) AS BIGINT) AS n_records, 'geometry' AS type FROM geometry_tiles GROUP BY level, tile")
+def tile_file_manifest(spark, d):
+    rows = streets.tiled_geometries(_geometries(spark, d), ZOOM).groupBy("level", "tile").agg(F.count("*").alias("n_records"))
+    return rows.withColumn("type", F.lit("geometry"))
+
+
+@_query(_TILE + "SELECT node_id, tile FROM tiled")
+def tile_ids(spark, d):
+    return fixture.nodes(spark, d).select(F.col("id").alias("node_id"), tiles.tile_id(ZOOM, F.col("lon"), F.col("lat")).alias("tile"))
+
+
+# --- ids and texts ---------------------------------------------------------------------------------------------
+
+
+@_query("SELECT p_partkey, md5('Part ' || p_name) AS id FROM part")
+def md5_id(spark, d):
+    return _part(spark, d).select("p_partkey", ids.content_id(F.concat(F.lit("Part "), F.col("p_name"))).alias("id"))
+
+
+@_query("SELECT node_id, md5(printf('Intersection %.5f %.5f', lon, lat)) AS bare_id, md5(printf('Intersection %.5f %.5f', lon, lat) || ' ' || node_id) AS id FROM nodes")
+def intersection_id(spark, d):
+    lon, lat = F.col("lon"), F.col("lat")
+    return fixture.nodes(spark, d).select(F.col("id").alias("node_id"), ids.intersection_id(lon, lat, F.lit(None).cast("long")).alias("bare_id"), ids.intersection_id(lon, lat, F.col("id")).alias("id"))
+
+
+@_query("SELECT p_partkey, md5(p_name) AS id, 16 AS n_bytes FROM part")
+def id_roundtrip(spark, d):
+    data = ids.id_bytes(F.md5("p_name"))
+    return _part(spark, d).select("p_partkey", ids.id_text(data).alias("id"), F.length(data).alias("n_bytes"))
+
+
+@_query("SELECT p_partkey, CAST(floor(p_retailprice + 0.5) AS BIGINT) AS up, CAST(floor(-p_retailprice + 0.5) AS BIGINT) AS down FROM part")
+def lpr_rounding(spark, d):
+    return _part(spark, d).select("p_partkey", ids.round_half_up(F.col("p_retailprice")).alias("up"), ids.round_half_up(-F.col("p_retailprice")).alias("down"))
+
+
+@_query("SELECT p_partkey, (100 * (p_partkey * 7919) + 1000)::DOUBLE * 0.000000001::DOUBLE AS lat FROM part")
+def osm_coord_decode(spark, d):
+    from waymesh.sources.osmpbf import coordinate
+
+    return _part(spark, d).select("p_partkey", coordinate(F.col("p_partkey") * 7919, F.lit(100), F.lit(1000)).alias("lat"))
+
+
+@_query("SELECT way_id, concat_ws('|', 'highway=' || highway, 'junction=' || junction, 'name=' || name, 'oneway=' || oneway, 'service=' || service) AS text FROM ways")
+def map_to_string(spark, d):
+    return fixture.ways(spark, d).select(F.col("id").alias("way_id"), texts.map_to_string(F.col("tags")).alias("text"))
+
+
+@_query("SELECT p_partkey, p_brand AS brand, 'x=' || p_type AS kind, CAST(2 AS INTEGER) AS n FROM part")
+def string_to_map(spark, d):
+    text = F.concat(F.lit("brand=old||skipped|brand="), F.col("p_brand"), F.lit("|kind=x="), F.col("p_type"))
+    read = texts.string_to_map(text)
+    return _part(spark, d).select("p_partkey", read["brand"].alias("brand"), read["kind"].alias("kind"), F.size(read).alias("n"))
+
+
+@_query("SELECT p_partkey, base64(encode(p_name)) AS ascii, p_name AS back FROM part")
+def base64_roundtrip(spark, d):
+    ascii_ = texts.to_ascii(F.col("p_name").cast("binary"))
+    return _part(spark, d).select("p_partkey", ascii_.alias("ascii"), texts.from_ascii(ascii_).cast("string").alias("back"))
+
+
+@_query("SELECT p_partkey, md5(p_name) AS back FROM part")
+def base58_roundtrip(spark, d):
+    return _part(spark, d).select("p_partkey", F.lower(F.hex(texts.base58_bytes(texts.base58(F.unhex(F.md5("p_name")))))).alias("back"))
+
+
+def _part(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/part.parquet")
+
+
+# --- geodesics, references, records: no SQL ---------------------------------------------------------------------
+
+
+@_query()
+def geodesic_functions(spark, d):
+    lon, lat = F.col("lon"), F.col("lat")
+    far = (lon + 0.01, lat + 0.005)
+    return fixture.nodes(spark, d).select("id", lines.geodesic_distance(lon, lat, *far).alias("metres"), lines.azimuth(lon, lat, *far, F.lit(1.0)).alias("azimuth"), lines.interpolate(lon, lat, *far, F.lit(0.5)).alias("middle"), lines.envelope(lon, lat, F.lit(100.0)).alias("box"))
+
+
+@_query()
+def references(spark, d):
+    return _references(spark, d).select("level", "seg_key", "direction", "geometry_id", "form_of_way", "reference_id", "length")
+
+
+@_query()
+def location_references(spark, d):
+    return _references(spark, d).select("level", "seg_key", "direction", F.explode("location_references").alias("lpr")).select("level", "seg_key", "direction", "lpr.*")
+
+
+@_query()
+def street_intersections(spark, d):
+    rows = streets.street_intersections(_references(spark, d))
+    return rows.select("level", "intersection_id", "node_id", "lon", "lat", F.size("inbound").alias("n_inbound"), F.size("outbound").alias("n_outbound"))
+
+
+@_query()
+def tiled_references(spark, d):
+    return streets.tiled_references(_references(spark, d), ZOOM).select("level", "tile", "reference_id")
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return tile_files.tile_records(*_streets(spark, d), zoom=ZOOM)
+
+
+def _streets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    geometries = checkpointed(streets.segment_geometries(_merged(spark, d)))
+    refs = checkpointed(streets.references(geometries))
+    return streets.street_geometries(geometries, refs), refs, streets.street_intersections(refs)
+
+
+@_query()
+def tile_records(spark, d):
+    return _records(spark, d).select("level", "tile", "type", "id", F.length("payload").alias("n_bytes"))
+
+
+@_query()
+def tile_files_written(spark, d):
+    folder = tile_files.scratch_folder(spark)
+    return tile_files.write_tiles(_records(spark, d), folder).select("file", "n_records", "n_bytes")
+
+
+@_query()
+def tile_json(spark, d):
+    return json_tiles.tile_json(*_streets(spark, d), zoom=ZOOM).select("level", "tile", F.length("json").alias("n_chars"))
+
+
+@_query()
+def encode_roundtrip(spark, d):
+    """Intersections as protobuf messages, read back."""
+    _, _, found = _streets(spark, d)
+    return found.select("level", "node_id", protobuf.decode_intersection(protobuf.encode_intersection(found)).alias("m")).select("level", "node_id", "m.*")
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
