@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymesh.llm import op01_language, op02_token_counts, op03_fingerprints, op05_decontamination, op06_token_ids, op07_warc, op08_html, op09_mixing, op10_minhash
+from waymesh.llm import op01_language, op02_token_counts, op03_fingerprints, op04_quality, op05_decontamination, op06_token_ids, op07_warc, op08_html, op09_mixing, op10_minhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language": op01_language.query,
         "op2_token_counts": op02_token_counts.query,
         "op3_fingerprints": op03_fingerprints.query,
+        "op4_quality": op04_quality.query,
         "op5_decontamination": op05_decontamination.query,
         "op6_token_ids": op06_token_ids.query,
         "op7_warc": op07_warc.query,
