@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -11,5 +13,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder of ``spark.checkpoint.dir``; a local one only where the session names none."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="waymesh-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named:
+            named = tempfile.mkdtemp(prefix="waymesh-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return df.checkpoint()

@@ -1 +1,2 @@
-
+"""The engine's operators are bounded; none of them has streaming semantics of its own. Stateless ones (filters,
+attribute and id columns, tiles) can be applied to a streaming DataFrame as they are."""
