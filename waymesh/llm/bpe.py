@@ -34,7 +34,7 @@ _ENDS_IN_SPACE = re.compile(r"\s ")
 class Memo:
     """piece -> value, for at most 2 * limit pieces. ``make`` gets the unknown pieces of a batch at once."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 250_000):
         self.make, self.limit = make, limit
         self.young: dict = {}
         self.old: dict = {}

@@ -23,8 +23,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ SLOTS_LOG2 = 20
 #: Below this, ``accepted`` takes the language for unknown.
 LEAST_SCORE = 0.3
 _END = 0x110000
-_PART = 3_000_000
+_PART = 1_000_000
 _BARRED = -30.0
 #: First code point of each script range (public Unicode block bounds) and a name for the script.
 SCRIPTS = (
@@ -276,14 +276,17 @@ def accepted(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, pe
     """The rows of docs whose language is known: not ``und``, and with at least this score. A null lang is
     filled with the prediction; a given one is kept. Without a model no row has a known language."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    text_at, lang_at = names.index("text"), names.index("lang")
 
-    @F.pandas_udf("lang_pred string, score double")
-    def told(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(predict(text.tolist(), sent.value, penalty), columns=["lang_pred", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = predict(batch.column(text_at).to_pylist(), sent.value, penalty)
+            known = pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_())
+            filled = pc.coalesce(batch.column(lang_at), pa.array([lang for lang, _ in found], pa.string()).cast(batch.column(lang_at).type))
+            yield batch.set_column(lang_at, batch.schema.field(lang_at), filled).filter(known)
 
-    judged = docs.withColumn("__told", told(F.col("text").cast("string")))
-    kept = judged.where((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= least_score))
-    return kept.withColumn("lang", F.coalesce("lang", F.col("__told.lang_pred"))).select(*docs.columns)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def spans(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
