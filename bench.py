@@ -11,7 +11,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-QUERIES = ("intersections", "way_sections", "merge_round", "merged_segments", "geometry_id", "tiled_geometries", "references", "street_intersections", "tile_records")
+QUERIES = ("intersections", "way_sections", "geometry_id", "merged_segments", "references")
 
 
 def main() -> None:
