@@ -71,3 +71,19 @@ def test_verbatim_against_brute_force(spark):
                 hits.append(i)
         want[d] = (bool(hits), hits)
     assert found(spark, docs, items) == want
+
+
+def test_items_with_few_words(spark):
+    dense = "In 2019 Alice paid 30 dollars to Bob Smith and 12 euros to Carol Jones."
+    items = [(1, dense), (2, "Compute 3 + 4 * 5 - 2."), (3, "In which year 1 2 3 4 5 6 7 8 9"), (4, "Add 1 2 3 4 5 then 6 7 8 9 stop"), (5, "7 8 9"), (6, "Compute 1 2 3 4 5 6 7 to 8 9")]
+    docs = [(i, f"{FILL} {text} {FILL}") for i, text in items]
+    docs += [
+        (11, f"{FILL} In 1999 Otto paid 45 euros to Max Weber and 7 dollars to Eva Klein. {FILL}"),
+        (12, "Compute 4 + 5 * 6 - 3."),
+        (13, "In which year 2 3 4 5 6 7 8 9 10"),
+        (14, "Add 2 3 4 5 6 then 7 8 9 10 stop"),
+        (15, "8 9 10 11"),
+        (16, f"{FILL} COMPUTE 3 4 5 2 {FILL}"),
+    ]
+    got = found(spark, docs, items)
+    assert {d: ids for d, (_, ids) in got.items()} == {1: [1], 2: [2], 3: [3, 5], 4: [4, 5], 5: [5], 6: [6], 11: [1], 12: [], 13: [3, 5], 14: [4, 5], 15: [], 16: [2]}

@@ -10,8 +10,10 @@ each value of a slot in the item stands against one value in the document. A doc
 item if the consistent windows are at least half of the item's windows, and at least three (all, where the
 item has fewer).
 
-Windows without three words of their own are too general and take no part, on either side; an item with
-fewer than five tokens is one window of its own length.
+A window without three words of its own is too general. It is lengthened onwards until it has three, or
+backwards where the item ends before that. An item with fewer than five tokens, or with too few words to
+lengthen all its windows, is one window as a whole: by its template if it has three words (or no slots), else
+token by token as written, but for case. So every item with a token has a window.
 
 Scale: documents are exploded to window hashes in the scan stage and meet the benchmark there, if its windows
 number at most ``BROADCAST_WINDOWS`` (counted first); above that, a shuffled join that AQE can split. Only
@@ -34,6 +36,8 @@ LITERALS = 3
 COVERAGE = 0.5
 LEAST_WINDOWS = 3
 BROADCAST_WINDOWS = 200_000
+#: Kinds of windows, preferred in this order.
+PLAIN, FORWARD, BACKWARD, WHOLE, EXACT = range(5)
 UNITS = (
     "mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl dl l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks "
     "month months year years meter meters metre metres kilometer kilometers kilometre kilometres mile miles inch inches foot feet yard yards gram grams "
@@ -72,58 +76,125 @@ def template(tokens: Column) -> Column:
     return F.transform(tokens, _kind(tokens))
 
 
-def windows(frame: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """(keep..., pos, window) of a frame with a column ``template``: hashes of windows of each length."""
-    # A template token's own hash, with 1 in its lowest bit iff it is a word and not a placeholder.
-    coded = F.transform("template", lambda t: F.when(t.startswith("<"), F.shiftleft(F.shiftright(F.xxhash64(t), 1), 1)).otherwise(F.xxhash64(t).bitwiseOR(F.lit(1))))
-    frame = frame.withColumn("coded", coded)
+def _coded(template: Column) -> Column:
+    """A template token's own hash, with 1 in its lowest bit iff it is a word and not a placeholder."""
+    return F.transform(template, lambda t: F.when(t.startswith("<"), F.shiftleft(F.shiftright(F.xxhash64(t), 1), 1)).otherwise(F.xxhash64(t).bitwiseOR(F.lit(1))))
 
-    def of(length: int) -> Column:
-        def one(i: Column) -> Column:
-            parts = [F.get("coded", i + k) for k in range(length)]
-            words = sum((p.bitwiseAND(F.lit(1)) for p in parts), F.lit(0))
-            return F.when(words >= min(LITERALS, length), F.xxhash64(F.lit(length), *parts))
 
-        return F.when(F.size("coded") >= length, F.transform(F.sequence(F.lit(0), F.size("coded") - length), one))
+def _plain(raw: Column) -> Column:
+    """Raw tokens without case and without the mark of names."""
+    return F.transform(raw, lambda t: F.lower(F.replace(t, F.lit(_NAME), F.lit(""))))
 
-    out = None
-    for length in lengths:
-        part = frame.select(*keep, F.posexplode(of(length)).alias("pos", "window")).where("window is not null")
-        out = part if out is None else out.unionByName(part)
-    return out
+
+def windows(frame: DataFrame, window: int, *keep: str) -> DataFrame:
+    """(keep..., pos, window) of a frame with a column ``template``: hashes of its windows with words enough."""
+
+    def one(i: Column) -> Column:
+        parts = [F.get("coded", i + k) for k in range(window)]
+        words = sum((p.bitwiseAND(F.lit(1)) for p in parts), F.lit(0))
+        return F.when(words >= min(LITERALS, window), F.xxhash64(F.lit(window), *parts))
+
+    every = F.when(F.size("coded") >= window, F.transform(F.sequence(F.lit(0), F.size("coded") - window), one))
+    return frame.withColumn("coded", _coded(F.col("template"))).select(*keep, F.posexplode(every).alias("pos", "window")).where("window is not null")
+
+
+def lengthened(frame: DataFrame, window: int, longest: int | None, *keep: str) -> DataFrame:
+    """(keep..., pos, first, last, kind, window): windows with too few words, lengthened onwards (FORWARD) or
+    backwards (BACKWARD) until they have enough; none longer than ``longest``. ``pos`` is where the window began
+    before."""
+    least = min(LITERALS, window)
+    n, longest = F.size("coded"), F.size("coded") if longest is None else F.lit(longest)
+    long = frame.where(F.size("template") > window).withColumn("coded", _coded(F.col("template")))
+    at = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("coded", i).bitwiseAND(F.lit(1)) == 1)
+    long = long.withColumn("words", at).where(F.size("words") >= least)
+
+    def onwards(k: Column) -> Column:
+        last = F.get("words", k + least - 1)
+        lo = F.greatest(F.coalesce(F.get("words", k - 1), F.lit(-1)) + 1, last - longest + 1)
+        return F.struct(lo.alias("lo"), F.least(F.get("words", k), last - window).alias("hi"), last.alias("end"), F.lit(FORWARD).alias("kind"))
+
+    def back(k: Column) -> Column:
+        first = F.get("words", k)
+        hi = F.least(F.coalesce(F.get("words", k + least), n) - 1, first + longest - 1)
+        return F.struct(F.greatest(F.get("words", k + least - 1), first + window).alias("lo"), hi.alias("hi"), first.alias("end"), F.lit(BACKWARD).alias("kind"))
+
+    def each(s: Column) -> Column:
+        def one(x: Column) -> Column:
+            forward = s["kind"] == FORWARD
+            first, last = F.when(forward, x).otherwise(s["end"]), F.when(forward, s["end"]).otherwise(x)
+            hashed = F.xxhash64(s["kind"], last - first + 1, F.slice("coded", first + 1, last - first + 1))
+            pos = F.when(forward, x).otherwise(x - window + 1)
+            return F.struct(pos.alias("pos"), first.alias("first"), last.alias("last"), s["kind"].alias("kind"), hashed.alias("window"))
+
+        return F.transform(F.sequence(s["lo"], s["hi"]), one)
+
+    ks = F.sequence(F.lit(0), F.size("words") - least)
+    spans = F.filter(F.concat(F.transform(ks, onwards), F.transform(ks, back)), lambda s: s["lo"] <= s["hi"])
+    return long.select(*keep, F.explode(F.flatten(F.transform(spans, each))).alias("w")).select(*keep, "w.*")
+
+
+def whole(frame: DataFrame, lengths: list[tuple[int, int]], *keep: str) -> DataFrame:
+    """(keep..., pos, window) of a frame with columns ``raw`` and ``template``: hashes of the runs of tokens that may
+    be a whole item, for each (kind, length): by template (WHOLE) or as written but for case (EXACT)."""
+
+    def of(kind: int, length: int) -> Column:
+        tokens = "coded" if kind == WHOLE else "plain"
+        one = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(kind), F.lit(length), F.slice(tokens, i + 1, length)).alias("window"))
+        return F.when(F.size("raw") >= length, F.transform(F.sequence(F.lit(0), F.size("raw") - length), one)).otherwise(F.array().cast("array<struct<pos:int,window:bigint>>"))
+
+    ready = frame.withColumn("coded", _coded(F.col("template"))).withColumn("plain", _plain(F.col("raw")))
+    return ready.select(*keep, F.explode(F.concat(*(of(*x) for x in lengths))).alias("w")).select(*keep, "w.*")
+
+
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, ipos, first, last, kind, window): one window for each place of an item; an item that is shorter than
+    a window, or that has a place where no window has words enough, is one window as a whole."""
+    plain = windows(items, window, "item_id").select("item_id", F.col("pos").alias("ipos"), F.struct(F.lit(PLAIN).alias("kind"), F.col("pos").alias("first"), (F.col("pos") + window - 1).alias("last"), "window").alias("w"))
+    longer = lengthened(items, window, None, "item_id").select("item_id", F.col("pos").alias("ipos"), F.struct("kind", "first", "last", "window").alias("w"))
+    placed = plain.unionByName(longer).groupBy("item_id", "ipos").agg(F.min("w").alias("w"))
+    full = placed.groupBy("item_id").agg(F.count("*").alias("places")).join(items.select("item_id", F.size("raw").alias("n")), "item_id")
+    full = full.where(F.col("places") == F.col("n") - window + 1).select("item_id").distinct()
+    words = F.size(F.filter("template", lambda t: ~t.startswith("<")))
+    rest = items.join(full, "item_id", "left_anti").withColumn("kind", F.when(words >= F.least(F.lit(LITERALS), F.size("raw")), WHOLE).otherwise(EXACT))
+    n, tokens = F.size("raw"), {WHOLE: _coded(F.col("template")), EXACT: _plain(F.col("raw"))}
+    hashed = F.when(F.col("kind") == WHOLE, F.xxhash64("kind", n, tokens[WHOLE])).otherwise(F.xxhash64("kind", n, tokens[EXACT]))
+    rest = rest.select("item_id", F.lit(0).alias("ipos"), F.lit(0).alias("first"), (n - 1).alias("last"), "kind", hashed.alias("window"))
+    return placed.join(full, "item_id", "left_semi").select("item_id", "ipos", "w.first", "w.last", "w.kind", "w.window").unionByName(rest)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, item_id, windows, of): a row for each document and item that contaminates it."""
     read = benchmark.select(F.col("item_id").cast("long").alias("item_id"), raw_tokens(F.col("text")).alias("raw")).where("item_id is not null")
     items = durable(read.withColumn("template", template(F.col("raw"))).where(F.size("raw") > 0), "items")
-    # Items shorter than a window bring their own length; there are fewer than ``window`` of those.
-    short = items.where(F.size("raw") < window).select(F.size("raw").alias("n")).distinct().collect()
-    per_item = windows(items.where(F.size("raw") >= window), [window], "item_id")
-    for row in short:
-        per_item = per_item.unionByName(windows(items.where(F.size("raw") == row.n), [row.n], "item_id"))
-    per_item = durable(per_item.select("item_id", F.col("pos").alias("ipos"), "window"), "item-windows")
+    per_item = durable(item_windows(items, window), "item-windows")
     total = per_item.groupBy("item_id").agg(F.countDistinct("ipos").alias("of"))
     small = per_item.count() <= broadcast_windows
     near = (lambda frame: F.broadcast(frame)) if small else (lambda frame: frame)
 
     named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = named.select("doc_id", raw_tokens(F.col("text")).alias("raw")).select("doc_id", template(F.col("raw")).alias("template"))
-    met = windows(own, sorted({window, *(r.n for r in short)}), "doc_id").join(near(per_item), "window")
+    own = named.select("doc_id", raw_tokens(F.col("text")).alias("raw")).select("doc_id", "raw", template(F.col("raw")).alias("template"))
+    # What the items do not have is not looked for: most benchmarks have plain windows only.
+    used = per_item.select("kind", (F.col("last") - F.col("first") + 1).alias("n")).distinct().collect()
+    theirs = windows(own, window, "doc_id")
+    if longer := [r.n for r in used if r.kind in (FORWARD, BACKWARD)]:
+        theirs = theirs.unionByName(lengthened(own, window, max(longer), "doc_id").select("doc_id", "pos", "window"))
+    if lengths := sorted((r.kind, r.n) for r in used if r.kind in (WHOLE, EXACT)):
+        theirs = theirs.unionByName(whole(own, lengths, "doc_id"))
+    met = theirs.join(near(per_item.drop("kind")), "window")
     # Bounded by the item's length: the places of its windows that lie at one offset.
-    placed = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("offset")).agg(F.collect_set("ipos").alias("at"))
+    placed = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("offset")).agg(F.collect_set(F.struct("ipos", "first", "last")).alias("at"))
     placed = durable(placed.join(near(total), "item_id"), "placed")
     hopeful = placed.groupBy("doc_id", "item_id", "of").agg(F.sum(F.size("at")).alias("n")).where(_enough(F.col("n"), coverage)).select("doc_id", "item_id")
     placed = placed.join(hopeful, ["doc_id", "item_id"], "left_semi")
 
     matched = named.join(placed.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", raw_tokens(F.col("text")).alias("doc_raw"))
     slots = placed.join(matched, "doc_id").join(near(items.select("item_id", "raw", "template")), "item_id")
-    length = F.least(F.lit(window), F.size("raw"))
-    cells = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + length - 1))))
+    slots = slots.withColumn("raw", _plain(F.col("raw"))).withColumn("doc_raw", _plain(F.col("doc_raw")))
+    cells = F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(w["first"], w["last"]))))
     filled = F.filter(cells, lambda p: F.get("template", p).isin("<num>", "<name>", "<unit>"))
     pairs = F.array_distinct(F.transform(filled, lambda p: F.struct(F.get("raw", p).alias("item"), F.get("doc_raw", p + F.col("offset")).alias("doc"))))
     judged = slots.withColumn("pairs", pairs).withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item"]))))
-    covered = judged.where("consistent").select("doc_id", "item_id", "of", F.explode("at").alias("ipos"))
+    covered = judged.where("consistent").select("doc_id", "item_id", "of", F.explode("at.ipos").alias("ipos"))
     counted = covered.groupBy("doc_id", "item_id", "of").agg(F.countDistinct("ipos").alias("windows"))
     return counted.where(_enough(F.col("windows"), coverage)).select("doc_id", "item_id", "windows", "of")
 
