@@ -87,3 +87,17 @@ def test_items_with_few_words(spark):
     ]
     got = found(spark, docs, items)
     assert {d: ids for d, (_, ids) in got.items()} == {1: [1], 2: [2], 3: [3, 5], 4: [4, 5], 5: [5], 6: [6], 11: [1], 12: [], 13: [3, 5], 14: [4, 5], 15: [], 16: [2]}
+
+
+def test_one_edited_slot(spark):
+    item = "When Alice went to the old market with Alice of the green hill she saw how Alice sold apples and bread to her neighbours in town."
+    twice = "Please count the 5 apples and after this also count the 5 pears that are lying there."
+    docs = [
+        (1, "Alice".join(item.split("Alice")[:3]) + "Alise" + item.split("Alice")[3]),
+        (2, item.replace("Alice", "Otto", 2)),
+        (3, twice.replace("5 pears", "8 pears")),
+        (4, twice.replace("5", "3")),
+        (5, item.replace("Alice", "Otto", 1).replace("Alice", "Max", 1).replace("Alice", "Eva", 1)),
+    ]
+    got = found(spark, docs, [(1, item), (2, twice)])
+    assert {d: ids for d, (_, ids) in got.items()} == {1: [1], 2: [1], 3: [2], 4: [2], 5: []}

@@ -6,9 +6,10 @@ case. Windows of five template tokens of the documents are joined by hash with t
 items, so a question with other numbers, names or units still meets its windows.
 
 Windows of one item that lie in one document at one offset belong together. Their slots must be consistent:
-each value of a slot in the item stands against one value in the document. A document is contaminated by an
-item if the consistent windows are at least half of the item's windows, and at least three (all, where the
-item has fewer).
+each value of a slot in the item stands for one value in the document, the most frequent one at that offset,
+and windows with another one do not count. Where several changed values are equally frequent, the offset is no re-parameterisation and none of its windows count. A document is contaminated
+by an item if the consistent windows are at least half of the item's windows, and at least three (all, where
+the item has fewer).
 
 A window without three words of its own is too general. It is lengthened onwards until it has three, or
 backwards where the item ends before that. An item with fewer than five tokens, or with too few words to
@@ -192,13 +193,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     slots = slots.withColumn("raw", _plain(F.col("raw"))).withColumn("doc_raw", _plain(F.col("doc_raw")))
     cells = F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(w["first"], w["last"]))))
     filled = F.filter(cells, lambda p: F.get("template", p).isin("<num>", "<name>", "<unit>"))
-    pairs = F.array_distinct(F.transform(filled, lambda p: F.struct(F.get("raw", p).alias("item"), F.get("doc_raw", p + F.col("offset")).alias("doc"))))
-    judged = slots.withColumn("pairs", pairs).withColumn("consistent", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item"]))))
-    covered = judged.where("consistent").select("doc_id", "item_id", "of", F.explode("at.ipos").alias("ipos"))
+    slots = slots.withColumn("cells", F.transform(filled, lambda p: F.struct(p.alias("p"), F.get("raw", p).alias("item"), F.get("doc_raw", p + F.col("offset")).alias("doc"))))
+    agreed = slots.withColumn("agreed", F.transform(F.array_distinct("cells.item"), _counterpart)).where(~F.exists("agreed", lambda x: x["doc"].isNull()))
+    odd = F.filter("cells", lambda c: ~F.array_contains("agreed", F.struct(c["item"].alias("item"), c["doc"].alias("doc"))))
+    judged = agreed.withColumn("odd", F.transform(odd, lambda c: c["p"]))
+    judged = judged.withColumn("at", F.filter("at", lambda w: ~F.exists("odd", lambda p: p.between(w["first"], w["last"]))))
+    covered = judged.select("doc_id", "item_id", "of", F.explode("at.ipos").alias("ipos"))
     counted = covered.groupBy("doc_id", "item_id", "of").agg(F.countDistinct("ipos").alias("windows"))
     return counted.where(_enough(F.col("windows"), coverage)).select("doc_id", "item_id", "windows", "of")
 
 
+def _counterpart(value: Column) -> Column:
+    """(item, doc): what a slot value of an item stands for in a document by its ``cells``: the most frequent value
+    there, at a tie the item's own; null where other values tie."""
+    found = F.transform(F.filter("cells", lambda c: c["item"] == value), lambda c: c["doc"])
+    counts = F.transform(F.array_distinct(found), lambda d: F.struct(F.size(F.filter(found, lambda x: x == d)).alias("n"), (d == value).alias("same"), d.alias("doc")))
+    best = F.array_max(counts)
+    tied = F.size(F.filter(counts, lambda x: x["n"] == best["n"])) > 1
+    return F.struct(value.alias("item"), F.when(best["same"] | ~tied, best["doc"]).alias("doc"))
+
+
 def _enough(n: Column, coverage: float) -> Column:
     return (n >= F.col("of") * F.lit(coverage)) & (n >= F.least(F.lit(LEAST_WINDOWS), F.col("of")))
 
