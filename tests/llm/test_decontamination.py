@@ -101,3 +101,12 @@ def test_one_edited_slot(spark):
     ]
     got = found(spark, docs, [(1, item), (2, twice)])
     assert {d: ids for d, (_, ids) in got.items()} == {1: [1], 2: [1], 3: [2], 4: [2], 5: []}
+
+
+def test_long_part_of_a_long_item(spark):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(71)]
+    docs = [(n, f"{FILL} {' '.join(words[20 : 20 + n])} {FILL}") for n in (5, 12, 13, 31)]
+    docs += [(100, " x ".join(" ".join(words[i : i + 8]) for i in range(0, 40, 8)))]
+    got = found(spark, docs, [(1, " ".join(words))])
+    assert {d for d, (leak, _) in got.items() if leak} == {13, 31}

@@ -9,7 +9,8 @@ Windows of one item that lie in one document at one offset belong together. Thei
 each value of a slot in the item stands for one value in the document, the most frequent one at that offset,
 and windows with another one do not count. Where several changed values are equally frequent, the offset is no re-parameterisation and none of its windows count. A document is contaminated
 by an item if the consistent windows are at least half of the item's windows, and at least three (all, where
-the item has fewer).
+the item has fewer), or if consistent windows at consecutive places of one offset span 13 tokens, whatever share
+of the item that is.
 
 A window without three words of its own is too general. It is lengthened onwards until it has three, or
 backwards where the item ends before that. An item with fewer than five tokens, or with too few words to
@@ -36,6 +37,8 @@ WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.5
 LEAST_WINDOWS = 3
+#: So many consecutive tokens of an item are a leak, whatever share of the item they are.
+RUN = 13
 BROADCAST_WINDOWS = 200_000
 #: Kinds of windows, preferred in this order.
 PLAIN, FORWARD, BACKWARD, WHOLE, EXACT = range(5)
@@ -185,7 +188,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     # Bounded by the item's length: the places of its windows that lie at one offset.
     placed = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("offset")).agg(F.collect_set(F.struct("ipos", "first", "last")).alias("at"))
     placed = durable(placed.join(near(total), "item_id"), "placed")
-    hopeful = placed.groupBy("doc_id", "item_id", "of").agg(F.sum(F.size("at")).alias("n")).where(_enough(F.col("n"), coverage)).select("doc_id", "item_id")
+    hopeful = placed.groupBy("doc_id", "item_id", "of").agg(F.sum(F.size("at")).alias("n"), F.max(_long_run("at", window)).alias("run")).where(_enough(F.col("n"), coverage) | F.col("run")).select("doc_id", "item_id")
     placed = placed.join(hopeful, ["doc_id", "item_id"], "left_semi")
 
     matched = named.join(placed.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", raw_tokens(F.col("text")).alias("doc_raw"))
@@ -198,9 +201,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     odd = F.filter("cells", lambda c: ~F.array_contains("agreed", F.struct(c["item"].alias("item"), c["doc"].alias("doc"))))
     judged = agreed.withColumn("odd", F.transform(odd, lambda c: c["p"]))
     judged = judged.withColumn("at", F.filter("at", lambda w: ~F.exists("odd", lambda p: p.between(w["first"], w["last"]))))
-    covered = judged.select("doc_id", "item_id", "of", F.explode("at.ipos").alias("ipos"))
-    counted = covered.groupBy("doc_id", "item_id", "of").agg(F.countDistinct("ipos").alias("windows"))
-    return counted.where(_enough(F.col("windows"), coverage)).select("doc_id", "item_id", "windows", "of")
+    covered = judged.select("doc_id", "item_id", "of", _long_run("at", window).alias("run"), F.explode("at.ipos").alias("ipos"))
+    counted = covered.groupBy("doc_id", "item_id", "of").agg(F.countDistinct("ipos").alias("windows"), F.max("run").alias("run"))
+    return counted.where(_enough(F.col("windows"), coverage) | F.col("run")).select("doc_id", "item_id", "windows", "of")
 
 
 def _counterpart(value: Column) -> Column:
@@ -213,6 +216,12 @@ def _counterpart(value: Column) -> Column:
     return F.struct(value.alias("item"), F.when(best["same"] | ~tied, best["doc"]).alias("doc"))
 
 
+def _long_run(at: str, window: int) -> Column:
+    """Whether windows at consecutive places of one offset span RUN tokens."""
+    pos, k = F.array_sort(F.col(at)["ipos"]), max(RUN - window, 0)
+    return F.coalesce(F.exists(F.sequence(F.lit(0), F.size(pos)), lambda i: F.get(pos, i + k) - F.get(pos, i) == k), F.lit(False))
+
+
 def _enough(n: Column, coverage: float) -> Column:
     return (n >= F.col("of") * F.lit(coverage)) & (n >= F.least(F.lit(LEAST_WINDOWS), F.col("of")))
 
