@@ -56,3 +56,21 @@ def test_rows_of_the_mix(spark):
     for r in out.collect():
         seen[r.doc_id] += 1
     assert seen[1] == want[1] and seen[3] == 0
+
+
+def test_mixed_rows_without_or_with_repeated_ids(spark):
+    rnd = random.Random(4)
+    data = [(None, f"w{i} " * rnd.randrange(1, 9), "abc"[i % 3]) for i in range(120)]
+    data += [(i // 3, f"v{i} " * rnd.randrange(1, 9), "abc"[i % 3]) for i in range(90)]
+    data += [(None, "one and the same", "b")] * 60
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix(docs).collect():
+        target[r.source_size] = r.target
+    size = {s: sum(len(t.split()) for _, t, x in data if x == s) for s in "abc"}
+    for r in mixing.mixed(docs).collect():
+        taken[r.source] += len(r.text.split())
+    assert len(set(size.values())) == 3
+    for s in "abc":
+        # The last document is taken or left as a whole.
+        assert abs(taken[s] - target[size[s]]) <= 8

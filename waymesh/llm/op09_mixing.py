@@ -69,6 +69,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int =
     last epoch as many of its words as the budget still holds. ``whole`` counts how often the mix takes the
     document if only whole documents can be taken: one is in the last epoch iff at least half of it is.
     """
+    return _rows_of_mix(docs, weights, most_epochs, bucket_rows, seed).select("doc_id", "size", "source_size", "target", "taken", "whole")
+
+
+def _rows_of_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS, bucket_rows: int = BUCKET_ROWS, seed: str = "mix") -> DataFrame:
+    """``mix`` with the columns source and tie (a hash of the text) of each row."""
     key = random_key(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), key.alias("key"), F.xxhash64("text").alias("tie"))
     rows = durable(lean, "sizes")
@@ -97,7 +102,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int =
     both = edge.unionByName(others).withColumn("fitting", fitting.cast("long"))
     taken = (F.col("epochs") * F.col("size") + F.col("fitting")).cast("long")
     whole = (F.col("epochs") + F.when((F.col("size") > 0) & (F.col("fitting") * 2 >= F.col("size")), 1).otherwise(0)).cast("int")
-    return both.select("doc_id", "size", "source_size", "target", taken.alias("taken"), whole.alias("whole"))
+    return both.select("doc_id", "source", "tie", "size", "source_size", "target", taken.alias("taken"), whole.alias("whole"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,11 +110,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs as often as the mix takes them whole. Rows without doc_id are taken in the mix of
-    their source too; rows that repeat a doc_id are taken as often as the first of them."""
-    taken = mix(docs, **settings).groupBy("doc_id").agg(F.max("whole").alias("__whole")).select(F.col("doc_id").alias("__id"), "__whole")
-    again = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return again.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole")))).where("__whole > 0").drop("__id", "__whole", "__copy")
+    """The rows of docs as often as the mix takes them whole, decided row by row: rows that share a doc_id, or have
+    none, but differ in source or text have decisions of their own. Rows equal in all three may stand for each
+    other: if the cut of the last epoch falls among them, as many of them are taken once more as the mix takes."""
+    n, least = F.count("*"), F.min("whole")
+    decided = _rows_of_mix(docs, **settings).groupBy("doc_id", "source", "tie").agg(n.alias("__n"), least.alias("__least"), (F.sum("whole") - n * least).alias("__more"))
+    decided = durable(decided.withColumnsRenamed({"doc_id": "__id", "source": "__source", "tie": "__tie"}), "decided")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.xxhash64("text") == F.col("__tie"))
+    cut = (F.col("__more") > 0) & (F.col("__more") < F.col("__n"))
+    again = docs.join(decided.where(~cut), same).withColumn("__whole", F.col("__least") + F.when(F.col("__more") > 0, 1).otherwise(0))
+    if not decided.where(cut).isEmpty():
+        place = F.row_number().over(Window.partitionBy("__id", "__source", "__tie").orderBy("__n"))
+        parted = docs.join(decided.where(cut), same).withColumn("__whole", F.col("__least") + F.when(place <= F.col("__more"), 1).otherwise(0))
+        again = again.unionByName(parted)
+    return again.where("__whole > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole")))).select(*docs.columns)
 
 
 ORACLE = r"""
