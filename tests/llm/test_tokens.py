@@ -1,11 +1,14 @@
 """Token counts and token files against the tokenizers library on whole texts."""
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from waymesh.llm import bpe
 from waymesh.llm import op02_token_counts as counts
 from waymesh.llm import op06_token_ids as ids
 from waymesh.llm.bpe import pieces
@@ -32,6 +35,36 @@ def test_counts_equal_the_library(library):
     assert counts.count_texts(TEXTS, counts.default_path()) == want
 
 
+def test_random_texts_in_small_chunks(library, monkeypatch):
+    rnd = random.Random(11)
+    signs = [*"ab  \n\n\t'.,1é×÷ß—\u00a0\u3000、。中文ñжЖ\u0301 \r\x0b\x1c\x7f\x85²", "<|endoftext|>", "'s", "'ll", "\U0001f600", "<|endof"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(0, 40))) for _ in range(2000)] + ["ab" * 20_000 + " x" * 9000 + "."]
+    want = [library.encode(x, add_special_tokens=False).ids for x in texts]
+    monkeypatch.setattr(bpe, "CHUNK", 1 << 12)
+    assert [x.tolist() for x in ids.encode_texts(texts, ids.default_path())] == want
+    assert counts.count_texts(texts, counts.default_path()) == list(map(len, want))
+
+
+def test_a_full_table_forgets_what_was_not_met_again():
+    table = bpe.PieceTable(lambda new: (np.ones(len(new), np.int64), np.array([int(x) for x in new], np.uint32)), [], slots_log2=8)
+    for k in range(60):
+        texts = [" ".join(str(100 * k + i) for i in range(100)), "7 8 9"]
+        data = bpe.column_bytes(pa.array([" ".join(texts)]))
+        ((_, n, values, _),) = table.runs(*data)
+        assert values.tolist() == [int(x) for x in " ".join(texts).split()] and n.tolist() == [103]
+        assert table.size <= table.limit + 103
+
+
+def test_tokenizers_that_can_not_be_cut():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Two  WORDS\n here.", None, ""]
+    assert [x.tolist() for x in ids.encode_texts(texts, path)] == [Tokenizer.from_file(path).encode(x or "", add_special_tokens=False).ids for x in texts]
+    with pytest.raises(ValueError):
+        counts.count_texts(texts, path)
+
+
 def test_count_query(spark, library):
     rows = [(i, x, 1) for i, x in enumerate(TEXTS)] + [(99, None, 1), (99, None, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")

@@ -7,8 +7,8 @@ counted. Merging all occurrences of the lowest pair at once equals merging one a
 merge only makes pairs of a higher rank.
 
 Edge cases: a null text counts as empty (0 tokens, 0 bytes); an empty table gives an empty result; repeated
-rows give repeated rows; other columns are ignored. Memory: one Arrow batch, cut into ranges of 4 million
-characters, and a bounded memo.
+rows give repeated rows, and no result depends on their order; other columns are ignored. Memory: one Arrow
+batch, worked on a megabyte at a time (very long texts too), and a bounded table of pieces.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.bpe import Memo, batches, pieces
+from waymesh.llm.bpe import PieceTable, can_be_cut, column_bytes
 from waymesh.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -47,12 +47,11 @@ def _byte_letters() -> dict[int, str]:
 class RankMerger:
     """Counts of byte-level BPE tokens from the tables of a tokenizer file."""
 
-    def __init__(self, path: str, limit: int = 300_000):
-        #: Counts of pre-tokens seen before, at most about ``limit``.
-        self.known: dict[str, int] = {}
-        self.limit = limit
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
+        if not can_be_cut(told):
+            raise ValueError("not a byte-level BPE file of the kind this operator merges")
         vocab, merges = told["model"]["vocab"], told["model"]["merges"]
         letters = _byte_letters()
         self.symbol = np.array([vocab[letters[b]] for b in range(256)], np.int64)
@@ -151,40 +150,42 @@ class RankMerger:
                 found.append([w for part in parts[::2] for w in self.words.findall(part)])
         else:
             found = list(map(self.words.findall, texts))
-        if len(self.known) > self.limit:
-            self.known = {}
-        new = set().union(*found).difference(self.known)
-        if new:
-            words = list(new)
-            self.known.update(zip(words, self.count_words([w.encode() for w in words]).tolist(), strict=True))
-        known = self.known.__getitem__
+        words = list(set().union(*found))
+        known = dict(zip(words, self.count_words([w.encode() for w in words]).tolist(), strict=True)).__getitem__
         return [n + sum(map(known, x)) for n, x in zip(extra, found, strict=True)]
 
 
-def _memo(path: str) -> Memo:
+def _counter(path: str) -> PieceTable:
     if path not in _WORKER:
-        _WORKER[path] = Memo(RankMerger(path).count)
+        merger = RankMerger(path)
+
+        def make(new: list[bytes]) -> tuple[np.ndarray, None]:
+            return np.array(merger.count([x.decode("utf-8", "replace") for x in new]), np.int64), None
+
+        _WORKER[path] = PieceTable(make, merger.special)
     return _WORKER[path]
 
 
-def count_texts(texts: list[str], path: str) -> list[int]:
-    """Tokens of each text; the same counts as the library's for the file."""
-    memo, out = _memo(path), []
-    for a, b in batches(texts):
-        cut = [pieces(x) for x in texts[a:b]]
-        known = memo.values(cut).__getitem__
-        out += [sum(map(known, x)) for x in cut]
+def count_column(column: pa.Array, path: str) -> np.ndarray:
+    """Tokens of each text of a column; the same counts as the library's for the file."""
+    out = np.zeros(len(column), np.int64)
+    for a, counts, _, _ in _counter(path).runs(*column_bytes(column)):
+        out[a : a + len(counts)] += counts
     return out
 
 
+def count_texts(texts: list[str], path: str) -> list[int]:
+    return count_column(pa.array(texts, pa.large_string()), path).tolist()
+
+
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of docs (doc_id, text, ...). No shuffle."""
     path = tokenizer or default_path()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            counts = count_texts([x or "" for x in batch.column(2).to_pylist()], path)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            counts = pa.array(count_column(batch.column(2), path))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts], ["doc_id", "n_bytes", "n_tokens"])
 
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.col("text").cast("string").alias("text"))
     counted = lean.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")

@@ -14,24 +14,27 @@ end in a footer:
 ``TokenFile.ids(a, b)`` reads only the blocks that hold the ids a..b-1 and unpacks them with numpy.
 
 Edge cases: a null text is empty and gives the end id alone; a null doc_id sorts first and is kept as null;
-repeated rows stay repeated, in the order of their text; an empty table gives an empty result; other columns
-are ignored. A repeated task writes the same bytes under its own name and renames them.
+rows that tie on doc_id, and repeated rows, stay, in the order of their text; an empty table gives an empty
+result; other columns are ignored; very long texts are encoded and written a megabyte at a time. A repeated
+task writes the same bytes under its own name and renames them.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymesh.llm.bpe import Memo, batches, pieces
+from waymesh.llm.bpe import PieceTable, WholeTexts, can_be_cut, column_bytes
 from waymesh.llm.common import durable, filesystem, fresh_path, publish, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -106,22 +109,31 @@ class TokenFile:
 
 
 class _Writer:
-    """Streams ids into a file; holds one block and the document table."""
+    """Streams ids into a file; holds one block and the document table (16 bytes a document)."""
 
-    def __init__(self, out, bits: int, block_ids: int):
-        self.out, self.bits, self.block_ids = out, bits, block_ids
+    def __init__(self, out, bits: int, block_ids: int, end_id: int | None):
+        self.out, self.bits, self.block_ids, self.end_id = out, bits, block_ids, end_id
         out.write(MAGIC)
         self.at, self.offsets, self.held, self.n_held = len(MAGIC), [len(MAGIC)], [], 0
-        self.doc_ids, self.starts, self.nulls = [], [0], 0
-
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.nulls += doc_id is None
-        self.doc_ids.append(doc_id or 0)
-        self.starts.append(self.starts[-1] + len(ids))
-        self.held.append(ids)
-        self.n_held += len(ids)
-        if self.n_held >= self.block_ids:
-            self._blocks(self.n_held // self.block_ids)
+        self.doc_ids, self.starts, self.nulls, self.n_ids, self.n_docs = [], [np.zeros(1, np.int64)], 0, 0, 0
+
+    def add(self, doc_ids: pa.Array, runs: Iterator) -> None:
+        """Documents with their ids, which come in runs; each document ends in the end id."""
+        self.nulls += doc_ids.null_count
+        self.doc_ids.append(pc.fill_null(doc_ids, 0).to_numpy(zero_copy_only=False))
+        self.n_docs += len(doc_ids)
+        for _, counts, values, whole in runs:
+            ids = np.zeros(0, np.uint32) if values is None else values.astype(np.uint32)
+            ends = np.cumsum(counts)[: len(counts) if whole else -1]
+            if self.end_id is not None:
+                ids = np.insert(ids, ends, self.end_id)
+                ends = ends + np.arange(1, len(ends) + 1)
+            self.starts.append(self.n_ids + ends)
+            self.n_ids += len(ids)
+            self.held.append(ids)
+            self.n_held += len(ids)
+            if self.n_held >= self.block_ids:
+                self._blocks(self.n_held // self.block_ids)
 
     def _blocks(self, n: int, rest: bool = False) -> None:
         ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint32)
@@ -135,55 +147,53 @@ class _Writer:
 
     def close(self) -> None:
         self._blocks(0, rest=True)
-        told = {"bits": self.bits, "block_ids": self.block_ids, "n_ids": self.starts[-1], "n_docs": len(self.doc_ids), "null_docs": self.nulls}
-        body = json.dumps(told).encode() + b"\n" + np.array([*self.offsets, *self.doc_ids, *self.starts], "<i8").tobytes()
+        told = {"bits": self.bits, "block_ids": self.block_ids, "n_ids": self.n_ids, "n_docs": self.n_docs, "null_docs": self.nulls}
+        body = json.dumps(told).encode() + b"\n" + np.concatenate([self.offsets, *self.doc_ids, *self.starts]).astype("<i8").tobytes()
         data = zlib.compress(body, 1)
         self.out.write(data + struct.pack("<q8s", len(data), MAGIC))
 
 
-def _encoder(path: str) -> Memo:
-    """piece -> its ids as little-endian uint32 bytes, by the tokenizers library."""
+def _encoder(path: str) -> tuple[PieceTable | WholeTexts, int]:
+    """(texts to ids by the tokenizers library, size of the vocabulary)"""
     if path not in _WORKER:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
-
-        def make(new: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for a in range(0, len(new), 50_000):
-                part = new[a : a + 50_000]
+        library.no_padding()
+        library.no_truncation()
+        told = json.loads(library.to_str())
+        size = library.get_vocab_size()
+        dtype = np.uint16 if size <= 1 << 16 else np.uint32
+
+        def make(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            counts, ids = [], []
+            for a in range(0, len(new), 20_000):
+                part = [x.decode("utf-8", "replace") for x in new[a : a + 20_000]]
                 done = library.encode(part, is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(done.ids, "<u4")
-                of = np.array(done.word_ids, np.int64)
-                ends = np.searchsorted(of, np.arange(len(part)), side="right") * 4
-                data, at = ids.tobytes(), 0
-                for end in ends.tolist():
-                    out.append(data[at:end])
-                    at = end
-            return out
-
-        _WORKER[path] = Memo(make), library.get_vocab_size()
+                counts.append(np.bincount(np.array(done.word_ids, np.int64), minlength=len(part)))
+                ids.append(np.array(done.ids, dtype))
+            return np.concatenate(counts), np.concatenate(ids)
+
+        special = [x["content"] for x in told.get("added_tokens", [])]
+        _WORKER[path] = (PieceTable(make, special, dtype) if can_be_cut(told) else WholeTexts(library, dtype)), size
     return _WORKER[path]
 
 
-def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
-    """The library's ids of each text, as little-endian uint32 bytes."""
-    memo, _ = _encoder(path)
-    for a, b in batches(texts):
-        cut = [pieces(x) for x in texts[a:b]]
-        known = memo.values(cut).__getitem__
-        for x in cut:
-            yield b"".join(map(known, x))
+def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
+    """The library's ids of each text."""
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for a, counts, values, _ in _encoder(path)[0].runs(*column_bytes(pa.array(texts, pa.large_string()))):
+        ends = np.cumsum(counts)
+        for k in np.flatnonzero(counts).tolist():
+            out[a + k].append(values[ends[k] - counts[k] : ends[k]])
+    return [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in out]
 
 
 def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = END_ID, block_ids: int = BLOCK_IDS, partitions: int | None = None) -> DataFrame:
     """Write all documents; returns the manifest (part, path, size, n_docs, n_ids, start), one row a file."""
     path, spark = tokenizer or default_path(), docs.sparkSession
     folder = fresh_path(spark, "tokens")
-    end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -191,18 +201,17 @@ def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int
         batch = next((b for b in rows if b.num_rows), None)
         if batch is None:
             return
-        _, vocabulary = _encoder(path)
+        table_, vocabulary = _encoder(path)
         bits, done = bits_for(max(vocabulary, (end_id or 0) + 1)), {}
 
         def write(out) -> None:
-            writer, now = _Writer(out, bits, block_ids), batch
+            writer, now = _Writer(out, bits, block_ids, end_id), batch
             while now is not None:
-                texts = [x or "" for x in now.column(1).to_pylist()]
-                for doc_id, data in zip(now.column(0).to_pylist(), encode_texts(texts, path), strict=True):
-                    writer.add(doc_id, np.frombuffer(data + end, "<u4"))
+                for a in range(0, now.num_rows, 1000):
+                    writer.add(now.column(0).slice(a, 1000), table_.runs(*column_bytes(now.column(1).slice(a, 1000))))
                 now = next(rows, None)
             writer.close()
-            done["n_docs"], done["n_ids"] = len(writer.doc_ids), writer.starts[-1]
+            done["n_docs"], done["n_ids"] = writer.n_docs, writer.n_ids
 
         publish(uri, write)
         files, at = filesystem(uri)

@@ -46,6 +46,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE["p"][:n], _CACHE["i"][:n]
 
 
+def span_sums(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, values: tuple[np.ndarray, ...]) -> list[np.ndarray]:
+    """The polynomial of the bytes of every span, modulo 2**64, for each table of byte values."""
+    up, down = _power_tables(len(buffer))
+    out = []
+    for value in values:
+        total = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum(value[buffer] * up, out=total[1:])
+        out.append((total[end] - total[start]) * down[start])
+    return out
+
+
 def word_hashes(texts: list[str | None], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of every text in order, number of words of each text)."""
     data = [x.encode("utf-8", "surrogatepass") if x else b"" for x in texts]
