@@ -74,3 +74,68 @@ def test_long_text(spark, docs):
     text = sentence("en", 60_000, random.Random(1))
     (row,) = language.identify(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).select(F.col("lang_pred"), F.col("score")).collect()
     assert row.lang_pred == "en" and row.score > 0.99
+
+
+def test_letters_and_marks():
+    words, *_ = language.read_words(["हिन्दी में", "\U000e0100\U000f0000\U000e0041", "áb ́ c", "\U00020000\U00030000"], 20)
+    got = [(t, a, b) for t, a, b in zip(words.text.tolist(), words.start.tolist(), words.end.tolist(), strict=True)]
+    assert got == [(0, 0, 6), (0, 7, 10), (2, 0, 3), (2, 6, 7), (3, 0, 2)]
+
+
+def test_und_without_letters(spark, docs):
+    model = language.fit(docs)
+    rows = spark.createDataFrame([(1, "\U000e0100"), (2, "\U000f0000 \U000e0041"), (3, "́")], "doc_id long, text string")
+    assert {(r.lang_pred, r.score) for r in language.identify(rows, model).collect()} == {("und", 0.0)}
+
+
+def test_pieces_of_long_texts_change_nothing(docs, monkeypatch):
+    model, rnd = language.fit(docs), random.Random(3)
+    texts = [sentence(rnd.choice(list(WORDS)), rnd.randrange(0, 30), rnd) for _ in range(40)] + [None, "", "a" * 300]
+    want = language.predict(texts, model)
+    monkeypatch.setattr(language, "_PART", 50)
+    got = language.predict(texts, model)
+    assert got[0] == want[0] and np.allclose(got[1], want[1]) and np.allclose(got[2], want[2])
+    for _, where, what in language.pieces(texts):
+        assert all(len(x) <= 300 for x in what) and len(where) == len(what)
+
+
+def test_many_languages_share_the_table(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join("".join(rnd.choice("abcdefgh"[k % 4 :]) for _ in range(5)) for _ in range(20)), f"l{k:02d}") for i, k in enumerate(list(range(40)) * 3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.dense().size <= 2**language.TABLE_LOG2 and len(model.languages) > 16
+
+
+def test_accepted(spark, docs):
+    """A clean text of three languages, a repeated row, a column named like a result; unknown scripts and no letters go."""
+    rnd, model = random.Random(8), language.fit(docs)
+    even = " ".join(sentence(x, 6, rnd) for x in WORDS)
+    rows = [(1, even, None, 5), (2, "漢字 漢字", "en", 5), (3, None, "en", 5), (4, sentence("en", 9, rnd), "xx", 5), (4, sentence("en", 9, rnd), "xx", 5), (None, sentence("de", 9, rnd), None, 5)]
+    got = language.accepted(spark.createDataFrame(rows, "doc_id long, text string, lang string, score int"), model)
+    assert got.columns == ["doc_id", "text", "lang", "score"]
+    found = got.collect()
+    assert sorted((r.doc_id or 0, r.lang in WORDS, r.score) for r in found) == [(0, True, 5), (1, True, 5), (4, False, 5), (4, False, 5)]
+    assert language.accepted(spark.createDataFrame([], "doc_id long, text string, lang string"), model).count() == 0
+
+
+def test_scores_against_a_plain_count(docs):
+    """The scores of words, against dictionaries of n-grams (no two of them share a slot here)."""
+    model, rnd = language.fit(docs), random.Random(6)
+    train = [(r.lang, r.text) for r in docs.where("lang is not null and text is not null and doc_id is not null").where(~language.held_out(F.col("doc_id"))).collect()]
+    def grams(word):
+        x = ["\0", "\0", *word.lower()]
+        return [tuple(x[i - 2 : i + 1]) for i in range(2, len(x))] + [("", *x[i - 1 : i + 1]) for i in range(2, len(x))] + [(*x[-2:], "$"), ("", x[-1], "$")]
+    plain = lambda text: "".join(c if c.isalpha() else " " for c in text).split()
+    counts = {lang: {} for lang in model.languages}
+    for lang, text in train:
+        for word in plain(text):
+            for g in grams(word):
+                counts[lang][g] = counts[lang].get(g, 0) + 1
+    every = set().union(*counts.values())
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    share = {g: [np.log((counts[x].get(g, 0) + 0.5) / (total[x] + 0.5 * len(every))) for x in model.languages] for g in every}
+    for word in ["house", "something", "zwischen", "unheard"]:
+        w, *found = language.read_words([word], model.bits)
+        want = sum((0.5 * (np.array(share[g]) - np.mean(share[g])) for g in grams(word) if g in share), np.zeros(3))
+        got, allowed = model.scores(w.script, *found)[0], model.allowed[w.script[0]]
+        assert got[allowed] == pytest.approx(want[allowed], abs=1e-3)

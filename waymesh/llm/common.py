@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import tempfile
 import uuid
@@ -56,6 +57,16 @@ def durable(df: DataFrame, kind: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that the allocators keep to the system: a Python worker lives on after its task, beside others."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path in it) for a URI of the shared folder; works on executors too."""
     from pyarrow import fs

@@ -1,6 +1,6 @@
 """Operator 1: language identification of whole texts and of spans within them.
 
-A word is a run of letters. Its script, from code-point ranges, narrows the candidates to the languages that
+A word is a run of letters and the marks on them. Its script, from code-point ranges, narrows the candidates to the languages that
 were seen to use that script; the others are barred. Its score for each candidate adds up, over its letters,
 how much more often the language has the letter pairs and triples of the word than languages do on average
 (hashed n-grams, bounded table). A Viterbi pass over a text's words finds the best sequence of languages under
@@ -9,16 +9,18 @@ text is the one with the most letters; the score is its share of all letters.
 
 The model is fitted on at most about ``sample`` labelled documents of each language, chosen by a hash of
 doc_id; only doc_id (to choose), text and lang of rows outside the held-out third are read. Everything is one
-pass without a shuffle; only counts of n-grams, at most 2**20 a language, come to the driver.
+pass without a shuffle; only counts of n-grams, at most 2**24 for all languages together, come to the driver.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is everything if nothing is
 labelled. A text that only has words in scripts no language uses gets the first learned language with score
 1 / languages. Ties go to the language that sorts first. A row without doc_id is not learned from and not held
-out. Repeated rows repeat; other columns are ignored. Very long texts are labelled whole.
+out. Repeated rows repeat; other columns are ignored. Very long texts are labelled whole; they are read piece by
+piece, and what is held of them is a row of scores for each word.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,16 +30,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import table
+from waymesh.llm.common import give_back, table
 
 UNKNOWN = "und"
 SAMPLE = 3000
 SWITCH_PENALTY = 12.0
 SLOTS_LOG2 = 20
-#: Below this, ``accepted`` takes the language for unknown.
-LEAST_SCORE = 0.3
+#: A worker's table has 2**TABLE_LOG2 numbers at most: more than 16 languages share fewer slots each.
+TABLE_LOG2 = 24
+#: ``accepted`` takes the language for unknown where less of the letters than this is in words of known scripts.
+LEAST_KNOWN = 0.5
 _END = 0x110000
-_PART = 1_000_000
+_TOP = 0x40000
+_PART = 500_000
+_ROWS = 500
 _BARRED = -30.0
 #: First code point of each script range (public Unicode block bounds) and a name for the script.
 SCRIPTS = (
@@ -52,54 +58,58 @@ _NAMES = sorted({name for _, name in SCRIPTS})
 _TABLES: dict = {}
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Is it a letter, its lower case, its script: for code points below 0x20000."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Is it a letter, a mark, its lower case, its script: for code points below _TOP; above are none."""
     if not _TABLES:
-        points = range(0x20000)
-        _TABLES["letter"] = np.fromiter((chr(i).isalpha() for i in points), bool, 0x20000)
-        lower = [chr(i).lower() for i in points]
-        _TABLES["lower"] = np.fromiter((ord(x) if len(x) == 1 else i for i, x in enumerate(lower)), np.uint32, 0x20000)
+        kind = [unicodedata.category(chr(i))[0] for i in range(_TOP)]
+        _TABLES["letter"] = np.fromiter((x == "L" for x in kind), bool, _TOP)
+        _TABLES["mark"] = np.fromiter((x == "M" for x in kind), bool, _TOP)
+        lower = [chr(i).lower() for i in range(_TOP)]
+        _TABLES["lower"] = np.fromiter((ord(x) if len(x) == 1 else i for i, x in enumerate(lower)), np.uint32, _TOP)
         starts = np.array([a for a, _ in SCRIPTS])
         ids = np.array([_NAMES.index(name) for _, name in SCRIPTS])
-        _TABLES["script"] = ids[np.maximum(0, np.searchsorted(starts, np.arange(0x20001), side="right") - 1)].astype(np.int8)
-    return _TABLES["letter"], _TABLES["lower"], _TABLES["script"]
+        _TABLES["script"] = ids[np.maximum(0, np.searchsorted(starts, np.arange(_TOP), side="right") - 1)].astype(np.int8)
+    return _TABLES["letter"], _TABLES["mark"], _TABLES["lower"], _TABLES["script"]
 
 
-def _slot(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+def _slot(a: np.ndarray, b: np.ndarray, c: np.ndarray, bits: int) -> np.ndarray:
     """The table row of a letter triple, or of a pair (then ``a`` is all ones)."""
     x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + c.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
 @dataclass
 class Words:
-    """The words of a batch: where they stand, of which text and script, and the slots of their n-grams."""
+    """The words of some texts: where they stand, of which text and script."""
 
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray
-    counts: np.ndarray
     script: np.ndarray
-    first_letter: np.ndarray
-    slots: tuple[np.ndarray, np.ndarray]
-    end_slots: tuple[np.ndarray, np.ndarray]
-
-
-def read_words(texts: list[str | None]) -> Words:
-    letter, lower, script = _tables()
-    own = [x or "" for x in texts]
-    length = np.fromiter(map(len, own), np.int64, len(own)) + 1
-    codes = np.frombuffer(("\n".join(own) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
-    near = np.minimum(codes, 0x1FFFF)
-    is_letter = letter[near] | (codes >= 0x20000)
-    edge = np.flatnonzero(np.diff(is_letter.astype(np.int8), prepend=0))
+
+
+def read_words(texts: list[str], bits: int) -> tuple[Words, np.ndarray, tuple, tuple]:
+    """The words, and for their n-grams: the place of each word's first letter, the slots of the pairs and triples
+    that end in each letter, and of those that end in the end of each word."""
+    letter, mark, lower, script = _tables()
+    length = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
+    near = np.minimum(codes, _TOP - 1)
+    is_letter = letter[near]
+    inside = is_letter | mark[near]
+    edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
     start, end = edge[::2], edge[1::2]
+    at = np.flatnonzero(inside)
+    letters = np.cumsum(is_letter)
+    real = letters[end - 1] - letters[start] + is_letter[start] > 0
+    if not real.all():  # marks without a letter
+        at = at[np.repeat(real, end - start)]
+        start, end = start[real], end[real]
     base = np.cumsum(length) - length
     text = np.searchsorted(base, start, side="right") - 1
-    at = np.flatnonzero(is_letter)
-    c = np.where(codes[at] < 0x20000, lower[near[at]], codes[at]).astype(np.uint32)
+    c = lower[near[at]]
     size = end - start
     first = np.cumsum(size) - size
     p1 = np.empty_like(c)
@@ -111,7 +121,44 @@ def read_words(texts: list[str | None]) -> Words:
     p2[(first + 1)[size > 1]] = 0
     pair, last = np.full(1, 0xFFFFFFFF, np.uint32), first + size - 1
     stop = np.full(1, _END, np.uint32)
-    return Words(start - base[text], end - base[text], text, np.bincount(text, minlength=len(own)), script[near[start]], first, (_slot(p2, p1, c), _slot(pair, p1, c)), (_slot(p1[last], c[last], stop), _slot(pair, c[last], stop)))
+    slots = _slot(p2, p1, c, bits), _slot(pair, p1, c, bits)
+    end_slots = _slot(p1[last], c[last], stop, bits), _slot(pair, c[last], stop, bits)
+    return Words(start - base[text], end - base[text], text, script[near[start]]), first, slots, end_slots
+
+
+def _cut(text: str, a: int) -> int:
+    """The end of a piece of about _PART characters from a on; no word crosses it."""
+    b = a + _PART
+    if b >= len(text):
+        return len(text)
+    inside = lambda i: unicodedata.category(text[i])[0] in "LM"
+    back = b
+    while back > a and inside(back - 1) and inside(back):
+        back -= 1
+    if back > a:
+        return back
+    while b < len(text) and inside(b):
+        b += 1
+    return b
+
+
+def pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """Groups of about _PART characters: the texts' numbers, the places where the pieces begin, the pieces."""
+    who, where, what, total = [], [], [], 0
+    for i, x in enumerate(texts):
+        a = 0
+        while x and a < len(x):
+            b = _cut(x, a)
+            who.append(i)
+            where.append(a)
+            what.append(x[a:b])
+            total += b - a
+            a = b
+            if total >= _PART:
+                yield who, where, what
+                who, where, what, total = [], [], [], 0
+    if who:
+        yield who, where, what
 
 
 @dataclass
@@ -123,27 +170,36 @@ class Model:
     values: np.ndarray
     allowed: np.ndarray
 
+    bits: int = SLOTS_LOG2
+
     def dense(self) -> np.ndarray:
         if "_full" not in self.__dict__:
-            full = np.zeros((1 << SLOTS_LOG2, len(self.languages)), np.float32)
+            full = np.zeros((1 << self.bits, len(self.languages)), np.float32)
             full[self.slots] = self.values
             self.__dict__["_full"] = full
         return self.__dict__["_full"]
 
-    def scores(self, w: Words) -> np.ndarray:
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_full"}
+
+    def scores(self, script: np.ndarray, first: np.ndarray, slots: tuple, end_slots: tuple) -> np.ndarray:
         """(words, languages)"""
         grams = self.dense()
-        if not len(w.start):
-            return np.zeros((0, len(self.languages)), np.float32)
-        by_letter = grams[w.slots[0]]
-        by_letter += grams[w.slots[1]]
-        out = np.add.reduceat(by_letter, w.first_letter, axis=0)
-        out += grams[w.end_slots[0]]
-        out += grams[w.end_slots[1]]
-        allowed = self.allowed[w.script]
+        out = np.zeros((len(script), len(self.languages)), np.float32)
+        # So many words at once that a row for each letter stays small, whatever the number of languages.
+        step = max(1, 2_000_000 // (8 * max(1, len(self.languages))))
+        for a in range(0, len(script), step):
+            b = min(a + step, len(script))
+            x, y = first[a], first[b] if b < len(first) else len(slots[0])
+            by_letter = grams[slots[0][x:y]]
+            by_letter += grams[slots[1][x:y]]
+            out[a:b] = np.add.reduceat(by_letter, first[a:b] - x, axis=0)
+        out += grams[end_slots[0]]
+        out += grams[end_slots[1]]
+        allowed = self.allowed[script]
         none = ~allowed.any(axis=1)
         out[none] = 0
-        return np.where(allowed | none[:, None], out, _BARRED)
+        return np.where(allowed | none[:, None], out, np.float32(_BARRED))
 
 
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
@@ -187,28 +243,35 @@ def parts(texts: list[str | None], most: int = _PART) -> Iterator[tuple[int, int
 
 
 def label(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY) -> tuple[Words, np.ndarray]:
-    words = read_words(texts)
-    return words, viterbi(model.scores(words), words.counts, penalty)
-
-
-def predict(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY) -> list[tuple[str, float]]:
-    """(language, score) of each text."""
-    out: list[tuple[str, float]] = []
-    if not model.languages:
-        return [(UNKNOWN, 0.0)] * len(texts)
+    """The words of the texts and their languages. What is held is a row for each word, not for each letter."""
+    found, scores = [], [np.zeros((0, len(model.languages)), np.float32)]
+    for who, where, what in pieces(texts):
+        w, *grams = read_words(what, model.bits)
+        scores.append(model.scores(w.script, *grams))
+        at = np.array(where)[w.text]
+        found.append((w.start + at, w.end + at, np.array(who)[w.text], w.script))
+    own = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4
+    words = Words(*own)
+    return words, viterbi(np.concatenate(scores), np.bincount(words.text, minlength=len(texts)), penalty)
+
+
+def predict(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """For each text its language, the score, and the share of its letters in words of a known script."""
+    names, score, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     n = len(model.languages)
-    for a, b in parts(texts):
+    for a, b in parts(texts) if n else ():
         words, labels = label(texts[a:b], model, penalty)
         letters = (words.end - words.start).astype(float)
         share = np.bincount(words.text * n + labels, weights=letters, minlength=(b - a) * n).reshape(-1, n)
-        known = np.bincount(words.text, weights=model.allowed[words.script].any(axis=1), minlength=b - a) > 0
+        in_known = np.bincount(words.text, weights=letters * model.allowed[words.script].any(axis=1), minlength=b - a)
         total, best = share.sum(axis=1), share.argmax(axis=1)
-        for k in range(b - a):
-            if total[k] == 0:
-                out.append((UNKNOWN, 0.0))
-            else:
-                out.append((model.languages[best[k]], float(share[k, best[k]] / total[k]) if known[k] else 1.0 / n))
-    return out
+        some = total > 0
+        known[a:b][some] = in_known[some] / total[some]
+        top = share[np.arange(b - a), best] / np.maximum(total, 1)
+        score[a:b] = np.where(some, np.where(in_known > 0, top, 1.0 / n), 0.0)
+        for k in np.flatnonzero(some).tolist():
+            names[a + k] = model.languages[best[k]]
+    return names, score, known
 
 
 def held_out(doc_id: Column) -> Column:
@@ -222,6 +285,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((len(_NAMES), 0), bool))
+    # The dense table of a worker has 2**24 numbers at most, whatever the number of languages.
+    bits = max(12, min(SLOTS_LOG2, TABLE_LOG2 - (len(languages) - 1).bit_length()))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     chosen = F.lit(False)
     for lang in languages:
@@ -233,12 +298,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in sorted(set(langs)):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-                for a, b in parts(own):
-                    w = read_words(own[a:b])
-                    slot, n = np.unique(np.concatenate([*w.slots, *w.end_slots]), return_counts=True)
+                for _, _, what in pieces(own):
+                    w, _, slots, end_slots = read_words(what, bits)
+                    slot, n = np.unique(np.concatenate([*slots, *end_slots]), return_counts=True)
                     script, words = np.unique(w.script, return_counts=True)
                     slot, n = np.concatenate([slot, -1 - script.astype(np.int64)]), np.concatenate([n, words])
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot), pa.array(n)], ["lang", "slot", "n"])
+        give_back()
 
     counts = rows.mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
@@ -256,7 +322,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     share = np.log((table_ + 0.5) / (total + 0.5 * max(1, len(slots))))
     # Pairs and triples overlap, so their evidence is counted at half its weight.
     values = 0.5 * (share - share.mean(axis=1, keepdims=True))
-    return Model(languages, slots, values.astype(np.float32), allowed)
+    return Model(languages, slots, values.astype(np.float32), allowed, bits)
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
@@ -265,26 +331,34 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = predict(batch.column(2).to_pylist(), sent.value, penalty)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            for a in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(a, _ROWS)
+                lang, score, _ = predict(part.column(2).to_pylist(), sent.value, penalty)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+        give_back()
 
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     return lean.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE, penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """The rows of docs whose language is known: not ``und``, and with at least this score. A null lang is
-    filled with the prediction; a given one is kept. Without a model no row has a known language."""
+def accepted(docs: DataFrame, model: Model, least_known: float = LEAST_KNOWN, penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The rows of docs whose language is known: not ``und``, and at least this share of the letters in words of a
+    script that a learned language uses, however many languages the text mixes. A null lang is filled with the
+    prediction; a given one is kept. Without a model no row has a known language. Other columns, whatever their
+    names, stay as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     text_at, lang_at = names.index("text"), names.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = predict(batch.column(text_at).to_pylist(), sent.value, penalty)
-            known = pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_())
-            filled = pc.coalesce(batch.column(lang_at), pa.array([lang for lang, _ in found], pa.string()).cast(batch.column(lang_at).type))
-            yield batch.set_column(lang_at, batch.schema.field(lang_at), filled).filter(known)
+            for a in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(a, _ROWS)
+                lang, _, share = predict(part.column(text_at).to_pylist(), sent.value, penalty)
+                known = pa.array((np.array(lang, object) != UNKNOWN) & (share >= least_known))
+                filled = pc.coalesce(part.column(lang_at), pa.array(lang, pa.string()).cast(part.column(lang_at).type))
+                yield part.set_column(lang_at, batch.schema.field(lang_at), filled).filter(known)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -301,6 +375,7 @@ def spans(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> Dat
                 new = np.flatnonzero(np.append(True, (w.text[1:] != w.text[:-1]) | (labels[1:] != labels[:-1]))[: len(labels)])
                 last = np.append(new[1:], len(labels)) - 1 if len(new) else new
                 yield pa.RecordBatch.from_arrays([pa.array([ids[a + k] for k in w.text[new]], pa.int64()), pa.array(w.start[new]), pa.array(w.end[last]), pa.array([sent.value.languages[k] for k in labels[new]], pa.string())], ["doc_id", "start", "end", "lang"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, start long, end long, lang string")
 
