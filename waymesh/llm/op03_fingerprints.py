@@ -19,8 +19,9 @@ doc_id. Documents are dealt into ranges of doc_id; the first document of each ra
 before, so one shuffle of the texts is all, and each task holds two documents besides its batch.
 
 Edge cases: a null text is empty: n_chars 0, the zero fingerprint of no paragraphs. An empty line is a
-paragraph. A null doc_id sorts last. Rows that repeat a doc_id follow one another in the order of their texts. A
-single document is its own next. An empty table gives an empty result. Other columns are ignored.
+paragraph. A null doc_id sorts last. Rows that tie on doc_id follow one another in the order of their texts, equal
+rows too. A single document is its own next. An empty table gives an empty result. Other columns are ignored. A
+very long text is done whole, alone with its neighbours; ids are compared as 64-bit integers.
 """
 
 from __future__ import annotations
@@ -30,13 +31,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import table
+from waymesh.llm.common import give_back, table
 from waymesh.llm.wordhash import GOLDEN, mix, word_hashes
 
 WIDE, LANES = 8, 128
@@ -140,7 +140,7 @@ def edited(own: str, following: str) -> str:
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, spare) in order; each row but the spares is judged with the row after it."""
     held: list[tuple[int | None, str]] = []
     size, is_spare = 0, False
@@ -156,8 +156,9 @@ def _pairs(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
         )
 
-    for batch in batches:
-        for doc_id, text, spare in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    slices = (batch.slice(a, 500) for batch in batches for a in range(0, batch.num_rows, 500))
+    for part in slices:
+        for doc_id, text, spare in zip(*(c.to_pylist() for c in part.columns), strict=True):
             if is_spare and spare:
                 continue  # of several rows that begin the next range, the first is the next document
             if is_spare:  # a new range begins in the same task
@@ -172,32 +173,34 @@ def _pairs(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator
                 held, size = held[-1:], len(held[-1][1])
     if len(held) > 1:
         yield done(held)
+    give_back()
 
 
 def neighbour_fingerprints(docs: DataFrame, range_rows: int = 5_000, most_ranges: int = 20_000) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness; see the module's text."""
-    # The sort key: descending doc_id, null last.
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(-F.col("doc_id").cast("double"), F.lit(float("inf"))).alias("key"))
-    # A range for about range_rows documents, most_ranges at most: the borders are a small list of numbers.
-    n, low, high = lean.agg(F.count("*"), F.min("key"), F.max(F.when(F.col("key") < float("inf"), F.col("key")))).first()
-    ranges = max(1, min(most_ranges, n // range_rows))
-    borders = np.zeros(0)
-    if ranges > 1 and high is not None and low < high:
-        borders = np.unique(lean.where(F.col("key") < float("inf")).approxQuantile("key", [k / ranges for k in range(1, ranges)], 0.1 / ranges))
-
-    @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(borders, key.to_numpy(), side="right").astype(np.int32))
-
-    placed = lean.withColumn("range", range_of("key"))
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # A range for about range_rows documents, most_ranges at most. Any list of numbers will do as borders, so it
+    # does no harm that the quantiles are doubles; ids are compared as they are.
+    ranges = max(1, min(most_ranges, lean.count() // range_rows))
+    borders: list[int] = []
+    if ranges > 1:
+        found = lean.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.1 / ranges)
+        borders = sorted({max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in found}, reverse=True)
+    # The number of borders that are at least the id, by halving steps: an id's range, in descending order.
+    listed = F.lit(borders).cast("array<long>")
+    steps = [1 << k for k in reversed(range(len(borders).bit_length()))]
+    place = lambda at, step: F.when(F.get(listed, at + step - 1) >= F.col("doc_id"), at + step).otherwise(at)
+    nth = F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), place) if borders else F.lit(0)
+    placed = lean.withColumn("range", F.when(F.col("doc_id").isNull(), len(borders)).otherwise(nth).cast("int"))
     # The first row of each range also goes to the range before it, cyclically.
-    heads = placed.groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()
+    heads = placed.groupBy("range").agg(F.max("doc_id").alias("doc_id")).orderBy("range").collect()
     order = [r.range for r in heads]
-    spare = [(r.range, r.key, order[k - 1]) for k, r in enumerate(heads)] or [(0, 0.0, 0)]
-    goes = F.broadcast(docs.sparkSession.createDataFrame(spare, "range int, key double, before int"))
-    copies = placed.join(goes, ["range", "key"]).select("doc_id", "text", "key", F.col("before").alias("range"), F.lit(True).alias("spare"))
+    spare = [(r.range, r.doc_id, order[k - 1]) for k, r in enumerate(heads)] or [(0, 0, 0)]
+    goes = F.broadcast(docs.sparkSession.createDataFrame(spare, "range int, first long, before int").alias("g"))
+    first = (F.col("p.range") == F.col("g.range")) & F.col("p.doc_id").eqNullSafe(F.col("g.first"))
+    copies = placed.alias("p").join(goes, first).select("doc_id", "text", F.col("before").alias("range"), F.lit(True).alias("spare"))
     rows = placed.withColumn("spare", F.lit(False)).unionByName(copies)
-    dealt = rows.repartitionByRange(max(1, len(order)), "range").sortWithinPartitions("range", "spare", "key", "text")
+    dealt = rows.repartitionByRange(max(1, len(order)), "range").sortWithinPartitions("range", "spare", F.col("doc_id").desc_nulls_last(), "text")
     return dealt.select("doc_id", "text", "spare").mapInArrow(_pairs, _OUT)
 
 
