@@ -70,6 +70,24 @@ def test_one_of_each_group_stays(spark):
     assert got == sorted([(1, "a b c d e f", "x"), (3, "other words here", None), (None, None, "z")], key=str)
 
 
+def test_different_texts_under_one_id(spark):
+    rows = [(1, "a b c d e f g h", "x", 1), (1, "quite another text stands here now", "y", 2), (1, "a b c d e f g h", "w", 3), (2, "a b c d e f g h i", "z", 4)]
+    rows += [(None, "a b c d e f g h", "v", 5), (None, "only rows without an id have this text", "u", 6), (None, "only rows without an id have this text", "t", 7), (None, "", "s", 8), (None, "", "r", 9), (5, None, "q", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, did string, tie int")
+    got = sorted(map(tuple, near.deduplicated(docs, size=2).collect()), key=str)
+    want = [rows[2], rows[1], rows[6], rows[7], rows[8], rows[9]]
+    assert got == sorted(want, key=str)
+    assert near.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(7)
+    words = [f"w{rnd.randrange(100_000)}" for _ in range(150_000)]
+    other = [*words[:-100], *(f"x{i}" for i in range(100))]
+    docs = spark.createDataFrame([(3, " ".join(words)), (2, " ".join(other)), (1, "short")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 2}
+
+
 def test_components(spark):
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(1, 30)] + [(rnd.randrange(200, 260), rnd.randrange(200, 260)) for _ in range(40)] + [(7, 7)]

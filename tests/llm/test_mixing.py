@@ -74,3 +74,31 @@ def test_mixed_rows_without_or_with_repeated_ids(spark):
     for s in "abc":
         # The last document is taken or left as a whole.
         assert abs(taken[s] - target[size[s]]) <= 8
+
+
+def test_names_used_inside_do_not_clash(spark):
+    data = [(i, f"w{i} " * (i % 5), "ab"[i % 2], i, i, i, i, i) for i in range(30)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, copy int, id int, of int, times int, tie int")
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and all(r.copy == r.id == r.of == r.times == r.tie == r.doc_id for r in out.collect())
+
+
+def test_rows_without_id_against_sql(spark):
+    rnd = random.Random(12)
+    data = [(None, f"w{i} " * rnd.randrange(0, 9), "abc"[i % 3]) for i in range(200)] + [(i, "some words", "a") for i in range(9)] + [(None, None, "b"), (700, "long " * 200_000, "c")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = sorted(map(tuple, mixing.mix(docs, bucket_rows=10).collect()), key=str)
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r[0] for r in data], pa.int64()), "text": pa.array([r[1] for r in data], pa.string()), "source": pa.array([r[2] for r in data], pa.string())}))
+    assert got == sorted(con.sql(mixing.ORACLE).fetchall(), key=str)
+    for source in "abc":
+        rows = [r for r in mixing.mix(docs, bucket_rows=10).join(docs.where(f"source = '{source}'").select("doc_id").distinct(), "doc_id", "left_semi").collect()]
+        assert all(r.taken <= 3 * r.size for r in rows)
+
+
+def test_repeated_rows_share_evenly(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x")] * 7 + [(2, "d e", "y")] * 5, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    for source_size in {r.source_size for r in got}:
+        rows = [r for r in got if r.source_size == source_size]
+        assert rows[0].target - 1 < sum(r.taken for r in rows) <= rows[0].target

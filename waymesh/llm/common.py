@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -15,37 +16,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of df has them (case does not count)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (tests, one machine) a local folder is made and set.
+    Only where the session names none and runs on one machine (tests) a local folder is made and set; on a cluster
+    that is an error, for other machines could not see what is written there.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="waymesh-shared-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a shared folder for intermediate results")
+        own = tempfile.mkdtemp(prefix="waymesh-shared-")
+        atexit.register(shutil.rmtree, own, True)
+        named = "file://" + own
         sc.setCheckpointDir(named)
     return named if "://" in named or named.startswith("file:") else f"file://{os.path.abspath(named)}"
 
 
 def fresh_path(spark: SparkSession, kind: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
+    """A new path in the shared folder, removed when the driver ends, whether or not the session still runs then."""
     path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
     def remove() -> None:
-        jvm = spark.sparkContext._jvm
-        if jvm is None or spark.sparkContext._jsc is None:
-            return
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        from pyarrow import fs
 
-    def quietly() -> None:
         try:
-            remove()
-        except Exception:  # noqa: BLE001  the session is already gone; the folder is scratch space
+            files, at = filesystem(path)
+            if files.get_file_info(at).type != fs.FileType.NotFound:
+                files.delete_dir(at)
+        except (OSError, ValueError):  # scratch space in a store that pyarrow can not open, or already gone
             return
 
-    atexit.register(quietly)
+    atexit.register(remove)
     return path
 
 

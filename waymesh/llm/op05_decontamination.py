@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import durable, table
+from waymesh.llm.common import durable, table, unused
 
 WINDOW = 5
 LITERALS = 3
@@ -236,8 +236,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
 
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows of docs that no benchmark item contaminates."""
-    found = leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__leak"), "left_anti")
+    (leak,) = unused(docs, "leak")
+    found = leaks(docs, benchmark, **settings).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(found, F.col("doc_id").cast("long") == F.col(leak), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,10 @@ weights' order, which ranks them over one row a source.
 
 Edge cases: a null text has 0 words and is taken 0 words; a null source is a source; sources without a word
 have target 0; repeated rows are rows of their own (equal keys are ordered by doc_id, then by a hash of the
-text, and full ties share their sum evenly by position); an empty table gives an empty result; columns with
-the names used here do not clash, since ``mix`` reads only doc_id, text and source.
+text, and full ties share their sum evenly by position); rows without doc_id get their key from their text; an
+empty table gives an empty result; columns with the names used here do not clash, since ``mix`` reads only
+doc_id, text and source and ``mixed`` chooses names that are free; a very long text is one document like others,
+and the cut of the last epoch may fall inside it.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import durable, table
+from waymesh.llm.common import durable, table, unused
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def word_count(text: Column) -> Column:
@@ -74,7 +76,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int =
 
 def _rows_of_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS, bucket_rows: int = BUCKET_ROWS, seed: str = "mix") -> DataFrame:
     """``mix`` with the columns source and tie (a hash of the text) of each row."""
-    key = random_key(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # A document without doc_id is told by its text, so that such rows do not share one key.
+    key = random_key(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text")), F.lit(""))))
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), key.alias("key"), F.xxhash64("text").alias("tie"))
     rows = durable(lean, "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -114,22 +117,24 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     none, but differ in source or text have decisions of their own. Rows equal in all three may stand for each
     other: if the cut of the last epoch falls among them, as many of them are taken once more as the mix takes."""
     n, least = F.count("*"), F.min("whole")
-    decided = _rows_of_mix(docs, **settings).groupBy("doc_id", "source", "tie").agg(n.alias("__n"), least.alias("__least"), (F.sum("whole") - n * least).alias("__more"))
-    decided = durable(decided.withColumnsRenamed({"doc_id": "__id", "source": "__source", "tie": "__tie"}), "decided")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source")) & (F.xxhash64("text") == F.col("__tie"))
-    cut = (F.col("__more") > 0) & (F.col("__more") < F.col("__n"))
-    again = docs.join(decided.where(~cut), same).withColumn("__whole", F.col("__least") + F.when(F.col("__more") > 0, 1).otherwise(0))
+    decided = _rows_of_mix(docs, **settings).groupBy("doc_id", "source", "tie").agg(n.alias("n"), least.alias("least"), (F.sum("whole") - n * least).alias("more"))
+    own = unused(docs, "id", "of", "tie", "n", "least", "more", "times", "copy")
+    id_, of, tie, n, least, more, times, copy = own
+    decided = durable(decided.select("doc_id", "source", "tie", "n", "least", "more").toDF(*own[:6]), "decided")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & F.col("source").cast("string").eqNullSafe(F.col(of)) & (F.xxhash64("text") == F.col(tie))
+    cut = (F.col(more) > 0) & (F.col(more) < F.col(n))
+    again = docs.join(decided.where(~cut), same).withColumn(times, F.col(least) + F.when(F.col(more) > 0, 1).otherwise(0))
     if not decided.where(cut).isEmpty():
-        place = F.row_number().over(Window.partitionBy("__id", "__source", "__tie").orderBy("__n"))
-        parted = docs.join(decided.where(cut), same).withColumn("__whole", F.col("__least") + F.when(place <= F.col("__more"), 1).otherwise(0))
+        place = F.row_number().over(Window.partitionBy(id_, of, tie).orderBy(n))
+        parted = docs.join(decided.where(cut), same).withColumn(times, F.col(least) + F.when(place <= F.col(more), 1).otherwise(0))
         again = again.unionByName(parted)
-    return again.where("__whole > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole")))).select(*docs.columns)
+    return again.where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) AS key
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || text, '')), 1, 12) AS BIGINT) AS key
   FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

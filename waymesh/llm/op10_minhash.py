@@ -15,10 +15,11 @@
 A pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6. The sketch test leaves
 about four standard deviations. No group, bucket or partner list is capped.
 
-Edge cases: a null or blank text has an empty set, n_shingles 0, and is its own component. A row without
-doc_id is linked with nothing, has a null component_id and is kept. Repeated rows are copies of each other.
-Other columns are ignored by ``near_duplicates`` and returned by ``deduplicated``. An empty table gives an
-empty result. Set identities and intersections are those of 64-bit hashes.
+Edge cases: a null or blank text has an empty set, n_shingles 0, and is its own component. In
+``near_duplicates`` a row without doc_id is linked with nothing, has a null component_id and is kept; repeated
+rows are copies of each other, and rows that tie on doc_id share a component. Other columns are ignored by
+``near_duplicates`` and returned by ``deduplicated``. An empty table gives an empty result. Very long texts are
+done whole; a set takes 8 bytes a shingle. Set identities and intersections are those of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import durable, table
+from waymesh.llm.common import durable, give_back, table, unused
 from waymesh.llm.graph import components
 from waymesh.llm.minhash import BANDS, ROWS, SKETCH_BITS, Signer, odd_distance_limit
 from waymesh.llm.wordhash import GOLDEN, mix, shingle_sets
@@ -61,13 +62,21 @@ def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """doc_id, did, tie, text. (did, tie) names the rows that are equal in doc_id and text: tie is a hash of the text,
+    did the doc_id, or another hash of the text where there is none."""
+    text = F.col("text").cast("string")
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.xxhash64(F.lit("id"), text)).alias("did"), F.xxhash64(text).alias("tie"), text.alias("text"))
+
+
 def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, node, bands, sketch for every row; the last three are null for empty sets."""
+    """doc_id, did, tie, n_shingles, node, bands, sketch for every row; the last three are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands, rows)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(3).to_pylist()
             for a, b in _parts(texts):
                 sets = shingle_sets(texts[a:b], size)
                 full = [i for i, x in enumerate(sets) if len(x)]
@@ -76,21 +85,21 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
                 at = dict(zip(full, range(len(full)), strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, b - a),
+                        *(batch.column(k).slice(a, b - a) for k in range(3)),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([set_id(x) if len(x) else None for x in sets], pa.int64()),
                         pa.array([keys[at[i]] if i in at else None for i in range(b - a)], pa.list_(pa.int64())),
                         pa.array([sketches[at[i]].tobytes() if i in at else None for i in range(b - a)], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "node", "bands", "sketch"],
+                    ["doc_id", "did", "tie", "n_shingles", "node", "bands", "sketch"],
                 )
+        give_back()
 
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return lean.mapInArrow(run, "doc_id long, n_shingles long, node long, bands array<long>, sketch binary")
+    return _rows(docs).mapInArrow(run, "doc_id long, did long, tie long, n_shingles long, node long, bands array<long>, sketch binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node, sset (the set as bytes) for the nodes of ``wanted`` (doc_id, node)."""
+    """node, sset (the set as bytes) for the nodes of ``wanted`` (did, tie, node)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,10 +107,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             for a, b in _parts(texts):
                 sets = shingle_sets(texts[a:b], size)
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(x) if len(x) else None for x in sets], pa.int64()), batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in sets], pa.binary())], ["found", "node", "sset"])
+        give_back()
 
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = lean.join(wanted, "doc_id").select("node", "text").mapInArrow(run, "found long, node long, sset binary")
-    # A doc_id that stands on rows with different texts brings them all; those of the node are kept.
+    rows = _rows(docs).join(wanted, ["did", "tie"]).select("node", "text").mapInArrow(run, "found long, node long, sset binary")
     return rows.where("found = node").select("node", "sset").dropDuplicates(["node"])
 
 
@@ -170,12 +178,14 @@ def _block_links(rows: DataFrame, keys: list[str], threshold: int, limit: float)
     return rows.groupBy(*keys).applyInArrow(run, "u long, v long")
 
 
-def near_duplicate_links(docs: DataFrame, signed: DataFrame, size: int, threshold: int = THRESHOLD, block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """(u, v): links between nodes, enough of them to give the components of all links."""
+def near_duplicate_links(docs: DataFrame, signed: DataFrame, size: int, threshold: int = THRESHOLD, block_nodes: int = BLOCK_NODES, without_id: bool = False) -> DataFrame:
+    """(u, v): links between nodes, enough of them to give the components of all links. Rows without doc_id take part
+    if ``without_id`` says so."""
     limit = odd_distance_limit(min(SKETCH_SIMILARITY, threshold / 100 - 0.14))
-    have = signed.where("node is not null and doc_id is not null")
-    first = have.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = have.join(first, ["node", "doc_id"], "left_semi").dropDuplicates(["node"])
+    have = signed.where(F.col("node").isNotNull() & (F.lit(without_id) | F.col("doc_id").isNotNull()))
+    first = have.groupBy("node").agg(F.min(F.struct("did", "tie")).alias("first")).select("node", "first.*")
+    # Rows of one node have equal bands and sketches.
+    nodes = have.select("node", "bands", "sketch").dropDuplicates(["node"])
     keys = nodes.select("node", F.explode("bands").alias("band"))
     pivots = keys.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     # Each node of a pivot's group once; ``n`` is 2 where they only meet in keys that have no third node.
@@ -234,11 +244,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD,
 
 
 def deduplicated(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of docs, one document of each group: that with the smallest doc_id. Of rows that repeat
-    the kept doc_id one stays; rows without doc_id stay."""
-    kept = near_duplicates(docs, size, threshold).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """The rows of docs, one document of each group: that with the smallest doc_id (then the smallest text hash); a
+    row without doc_id stays only if the group has none with one. Rows are judged by doc_id and text, so different
+    texts under one doc_id are different documents. Of rows equal in both, the one whose other columns sort first as
+    JSON stays. Rows without shingles are alike nothing and all stay. Columns keep their names and values."""
+    signed = durable(signatures(docs, size), "signed")
+    label = components(near_duplicate_links(docs, signed, size, threshold, without_id=True))
+    # The last field tells the one row from repeated ones.
+    full = signed.where("node is not null").groupBy("node", "did", "tie").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    least = full.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie", "did", "n")).alias("least"))
+    labelled = least.join(label, "node", "left").groupBy(F.coalesce("label", "node")).agg(F.min("least").alias("least"))
+    did, tie, many = unused(docs, "did", "tie", "many")
+    kept = labelled.select(F.col("least.did").alias(did), F.col("least.tie").alias(tie), (F.col("least.n") > 1).alias(many))
+    empty = signed.where("node is null").select(F.col("did").alias(did), F.col("tie").alias(tie), F.lit(False).alias(many)).distinct()
+    kept = durable(kept.unionByName(empty), "kept")
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    named = docs.withColumns({did: F.coalesce(doc_id, F.xxhash64(F.lit("id"), text)), tie: F.xxhash64(text)}).join(kept, [did, tie])
+    out = named.where(~F.col(many)).select(*docs.columns)
+    if kept.where(many).isEmpty():
+        return out
+    row = F.struct(*docs.columns)
+    one = named.where(many).groupBy(did, tie).agg(F.min_by(row, F.to_json(row)).alias(many)).select(f"{many}.*")
+    return out.unionByName(one)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
