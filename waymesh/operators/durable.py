@@ -1,21 +1,53 @@
-"""Intermediate results that survive a lost executor."""
+"""Intermediate results that survive a lost executor: Parquet in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 
+from waymesh.sources.files import filesystem
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``; a local one only where the session names none."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        named = sc.getConf().get("spark.checkpoint.dir")
-        if not named:
-            named = tempfile.mkdtemp(prefix="waymesh-checkpoint-")
-            atexit.register(shutil.rmtree, named, ignore_errors=True)
+
+def shared_dir(spark: SparkSession) -> str:
+    """URI of the shared folder, ``spark.checkpoint.dir`` of the session. Only where the session names none and runs on
+    one machine (tests) a local folder is made and set; on a cluster that is an error, for other machines could not
+    see what is written there."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a shared folder for intermediate results")
+        own = tempfile.mkdtemp(prefix="waymesh-shared-")
+        atexit.register(shutil.rmtree, own, True)
+        named = "file://" + own
         sc.setCheckpointDir(named)
-    return df.checkpoint()
+    return named if "://" in named or named.startswith("file:") else f"file://{os.path.abspath(named)}"
+
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, removed when the driver ends, whether or not the session still runs then."""
+    path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        try:
+            files, at = filesystem(path)
+            if files.get_file_info(at).type != fs.FileType.NotFound:
+                files.delete_dir(at)
+        except (OSError, ValueError):  # scratch space in a store that pyarrow can not open, or already gone
+            return
+
+    atexit.register(remove)
+    return path
+
+
+def checkpointed(df: DataFrame, kind: str = "step") -> DataFrame:
+    """Write a step as Parquet and read it back: lineage ends here, and its size is known to what follows."""
+    path = fresh_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,10 @@ One round: every segment shows its two end nodes; ends at merging nodes that two
 their flag; a segment keeps one flagged end, that with the least hash of node and round; segments without one,
 and loops, are final; two segments that keep the same node become one, a single one waits for the next round. The
 hash makes neighbours agree on the least joint of a chain, so every round with an open joint merges some pair.
-State holds a row a segment; each round is written to a durable place, so lineage does not grow.
+
+Rounds run on outlines: of each segment its attributes, the ends of its sections and the keys of the segments it is
+made of (``parts``), no geometry. Each round is written to a durable place, so lineage does not grow. Geometry is
+joined once, at the end, and only what was merged is shuffled by its new key.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _STATE = ["level", "seg_key", "one_way", "link", "roundabout", "sections"]
+_OUTLINE = ["level", "seg_key", "one_way", "link", "roundabout", "ends", "parts"]
 
 
 def initial_segments(sections: DataFrame) -> DataFrame:
@@ -33,9 +37,14 @@ def last_node(sections: Column) -> Column:
 
 
 def outline(segment: DataFrame) -> DataFrame:
-    """What can_merge needs, without geometry."""
+    """With ``ends`` (way, first and last node of each section), ``first``, ``last`` and ``parts``: what merging needs."""
     ends = lambda s: F.struct(s["way_id"].alias("way_id"), F.get(s["nodes"], F.lit(0))["node_id"].alias("a"), F.element_at(s["nodes"], -1)["node_id"].alias("z"))
-    return segment.withColumn("ends", F.transform("sections", ends)).withColumn("first", first_node(F.col("sections"))).withColumn("last", last_node(F.col("sections")))
+    part = F.array(F.struct(F.col("seg_key").alias("part"), F.lit(False).alias("turned"), F.lit(False).alias("lost")))
+    return _ended(segment.withColumn("ends", F.transform("sections", ends)).withColumn("parts", part))
+
+
+def _ended(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("first", F.get("ends", F.lit(0))["a"]).withColumn("last", F.element_at("ends", -1)["z"])
 
 
 def can_merge(a: Column, b: Column) -> Column:
@@ -53,21 +62,30 @@ def reverse_sections(sections: Column) -> Column:
     return F.reverse(F.transform(sections, lambda s: s.withField("nodes", F.reverse(s["nodes"]))))
 
 
-def merged_sections(a: Column, b: Column, fix_last_last: bool = True) -> Column:
-    """Sections of two segments joined at the ends they share. Where only their last nodes meet, b is turned and
-    appended; with ``fix_last_last`` False only the turned b is left there."""
-    turned = reverse_sections(b["sections"])
+def _turned(a: Column) -> tuple[Column, Column]:
+    """ends and parts of an outline drawn the other way."""
+    ends = F.transform(a["ends"], lambda e: F.struct(e["way_id"].alias("way_id"), e["z"].alias("a"), e["a"].alias("z")))
+    return F.reverse(ends), F.reverse(F.transform(a["parts"], lambda p: p.withField("turned", ~p["turned"])))
+
+
+def joined_outlines(a: Column, b: Column, fix_last_last: bool = True) -> tuple[Column, Column]:
+    """ends and parts of two outlines joined at the node they share. Where only their last nodes meet, b is turned and
+    appended; with ``fix_last_last`` False only the turned b is left there, and the parts of a are lost."""
+    ends, parts = _turned(b)
+    lost = F.transform(a["parts"], lambda p: p.withField("lost", F.lit(True)))
+
+    def pick(x: Column, y: Column, turned: Column, otherwise: Column) -> Column:
+        return F.when(b["first"] == a["last"], F.concat(x, y)).when(a["first"] == b["last"], F.concat(y, x)).when(a["first"] == b["first"], F.concat(turned, x)).otherwise(otherwise)
+
     return (
-        F.when(b["first"] == a["last"], F.concat(a["sections"], b["sections"]))
-        .when(a["first"] == b["last"], F.concat(b["sections"], a["sections"]))
-        .when(a["first"] == b["first"], F.concat(turned, a["sections"]))
-        .otherwise(F.concat(a["sections"], turned) if fix_last_last else turned)
+        pick(a["ends"], b["ends"], ends, F.concat(a["ends"], ends) if fix_last_last else ends),
+        pick(a["parts"], b["parts"], parts, F.concat(a["parts"] if fix_last_last else lost, parts)),
     )
 
 
 def segment_ends(segments: DataFrame) -> DataFrame:
-    """Two rows a segment, also where both ends are one node."""
-    rows = outline(segments)
+    """Two rows a segment, also where both ends are one node; of segments or their outlines."""
+    rows = segments if "ends" in segments.columns else outline(segments)
     return rows.select("level", "seg_key", "one_way", "link", "roundabout", "first", "last", "ends", F.explode(F.array("first", "last")).alias("node_id"))
 
 
@@ -91,31 +109,40 @@ def dedup_segment_ends(cleaned: DataFrame, round_no: int) -> DataFrame:
     return least.select("level", "seg_key", F.col("joint.node_id").alias("node_id"))
 
 
-def merge_round(segments: DataFrame, merging_nodes: DataFrame, round_no: int = 1, fix_last_last: bool = True) -> DataFrame:
-    """The segments after one round, with ``status``: final, waiting or merged."""
-    joints = dedup_segment_ends(cleaned_segment_ends(segment_end_merging(segment_ends(segments), merging_nodes)), round_no)
-    rows = outline(segments).join(joints, ["level", "seg_key"], "left")
+def merge_round(outlines: DataFrame, merging_nodes: DataFrame, round_no: int = 1, fix_last_last: bool = True) -> DataFrame:
+    """The outlines after one round, with ``status``: final, waiting or merged."""
+    joints = dedup_segment_ends(cleaned_segment_ends(segment_end_merging(segment_ends(outlines), merging_nodes)), round_no)
+    rows = outlines.join(joints, ["level", "seg_key"], "left")
     final = F.col("node_id").isNull() | (F.col("first") == F.col("last"))
     # A node has two ends at most, so a list holds two segments at most.
-    held = F.array_sort(F.collect_list(F.struct("seg_key", "one_way", "link", "roundabout", "first", "last", "sections")))
+    held = F.array_sort(F.collect_list(F.struct("seg_key", "one_way", "link", "roundabout", "first", "last", "ends", "parts")))
     met = rows.where(~final).groupBy("level", "node_id").agg(held.alias("pair"))
     a, b, two = F.get("pair", F.lit(0)), F.get("pair", F.lit(1)), F.size("pair") == 2
-    sections = F.when(two, merged_sections(a, b, fix_last_last)).otherwise(a["sections"])
-    moved = met.select("level", a["seg_key"].alias("seg_key"), a["one_way"].alias("one_way"), a["link"].alias("link"), a["roundabout"].alias("roundabout"), sections.alias("sections"), F.when(two, "merged").otherwise("waiting").alias("status"))
-    return rows.where(final).select(*_STATE, F.lit("final").alias("status")).unionByName(moved)
+    ends, parts = joined_outlines(a, b, fix_last_last)
+    same = [a[c].alias(c) for c in ("seg_key", "one_way", "link", "roundabout")]
+    moved = met.select("level", *same, F.when(two, ends).otherwise(a["ends"]).alias("ends"), F.when(two, parts).otherwise(a["parts"]).alias("parts"), F.when(two, "merged").otherwise("waiting").alias("status"))
+    return _ended(rows.where(final).select(*_OUTLINE, F.lit("final").alias("status")).unionByName(moved))
 
 
 def merged_segments(segments: DataFrame, merging_nodes: DataFrame, keep: Callable[[DataFrame], DataFrame], max_rounds: int = 100, fix_last_last: bool = True) -> DataFrame:
-    """Rounds until nothing merges. ``keep`` makes a frame durable."""
-    nodes = keep(merging_nodes.select("level", "node_id"))
-    now, done = keep(segments.select(*_STATE)), []
+    """Rounds until nothing merges; after ``max_rounds`` what is still open is given out as it is. ``keep`` makes a
+    frame durable."""
+    nodes, segments = keep(merging_nodes.select("level", "node_id")), keep(segments.select(*_STATE))
+    now, done = outline(segments).select(*_OUTLINE, "first", "last"), []
+    several = F.size("parts") > 1
     for round_no in range(1, max_rounds + 1):
         after = keep(merge_round(now, nodes, round_no, fix_last_last))
-        done.append(after.where("status = 'final'").select(*_STATE))
-        now = after.where("status <> 'final'").select(*_STATE)
+        done.append(after.where((F.col("status") == "final") & several))
+        now = after.where("status <> 'final'").drop("status")
         if after.where("status = 'merged'").isEmpty():
             break
-    out = now
+    moved = now.where(several)
     for part in done:
-        out = out.unionByName(part)
-    return out
+        moved = moved.unionByName(part.drop("status"))
+    moved = keep(moved.select("level", F.col("seg_key").alias("into"), F.posexplode("parts").alias("pos", "p")).select("level", "into", "pos", F.col("p.part").alias("seg_key"), "p.turned", "p.lost"))
+    held = F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("turned"), reverse_sections(F.col("sections"))).otherwise(F.col("sections")).alias("sections"))))
+    # All parts of a segment have the same attributes.
+    same = [F.min(c).alias(c) for c in ("one_way", "link", "roundabout")]
+    whole = segments.join(moved.where("not lost"), ["level", "seg_key"]).groupBy("level", F.col("into").alias("seg_key")).agg(*same, F.flatten(F.transform(held, lambda x: x["sections"])).alias("sections"))
+    rest = segments.join(moved.select("level", "seg_key"), ["level", "seg_key"], "left_anti")
+    return rest.select(*_STATE).unionByName(whole.select(*_STATE))

@@ -9,6 +9,8 @@ from pyarrow import fs
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """(file system, path in it); a plain path is a local one."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.replace("file:/", "file:///", 1)
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri.removeprefix("file:")
