@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,55 @@ def test_reference_measures_of_lines():
         assert got.distance == pytest.approx(metres / (n - 1), rel=1e-6)
         even = lines.reference_of_lines([[0.0, east(metres)]], [[0.0, 0.0]], even=True).iloc[0]
         assert even.lons == pytest.approx([east(metres) * k / (n - 1) for k in range(n)], abs=1e-9)
+
+
+def test_control_characters_around_tags(spark):
+    rows = [{"highway": "\tprimary\n", "oneway": "yes\n", "junction": "roundabout\t", "name": "\x01 A\r"}, {"highway": "\x00primary_link\x1f"}]
+    assert attributes(spark, rows) == [(2, True, False, True, "A"), (2, False, True, False, "")]
+
+
+@pytest.mark.parametrize("shift", [0.0, 100.0, 180.0, -180.0])
+def test_feet_and_crossings_at_any_longitude(shift):
+    """What holds at longitude 0 holds everywhere, also across 180 degrees."""
+    at = lambda x: float(np.remainder(x + shift + 180, 360) - 180)
+    assert geodesic.fraction_on(at(-0.1), 0, at(0.1), 0, at(-0.05), 0.05) == pytest.approx(0.25, abs=1e-9)
+    x, y = geodesic.crossing((at(-1.0), -1.0), (at(1.0), 1.0), (at(-1.0), 1.0), (at(1.0), -1.0))
+    assert (x - at(0.0) + 180) % 360 - 180 == pytest.approx(0, abs=1e-9) and y == pytest.approx(0, abs=1e-9)
+    line = lines.Lines.of([[at(-0.2), at(-0.1), at(0.3)]], [[0.0, 0.0, 0.0]])
+    assert lines.fractions_of_lines(line, np.array([at(0.05)]), np.array([0.2]))[0] == pytest.approx(0.5, abs=1e-9)
+
+
+def test_vectors_of_lines_against_single_ones():
+    rng = np.random.default_rng(4)
+    lons = [np.cumsum(rng.normal(0, 0.02, n)) - 74 for n in (2, 5, 1, 9, 3)]
+    lats = [np.cumsum(rng.normal(0, 0.02, len(x))) + 40 for x in lons]
+    every = lines.Lines.of(lons, lats)
+    for f in (0.0, 0.3, 0.77, 1.0):
+        lon, lat, azimuth, _ = every.points(np.arange(5), np.full(5, f))
+        for k, (x, y) in enumerate(zip(lons, lats)):
+            if len(x) > 1:
+                assert (lon[k], lat[k]) == pytest.approx(geodesic.point_at(x, y, f), abs=1e-10)
+                assert (azimuth[k] - geodesic.azimuth_at(x, y, f) + 180) % 360 - 180 == pytest.approx(0, abs=1e-7)
+    px, py = rng.normal(-74, 0.05, 5), rng.normal(40, 0.05, 5)
+    got = lines.fractions_of_lines(every, px, py)
+    assert got == pytest.approx([geodesic.fraction_of_line(x, y, p, q) if len(x) > 1 else 0.0 for x, y, p, q in zip(lons, lats, px, py)], abs=1e-9)
+
+
+def test_both_directions_at_once():
+    """The way back equals the way there of the turned line; one-way lines have none."""
+    rng = np.random.default_rng(5)
+    lons = [(np.cumsum(rng.normal(0, s, n)) - 74).tolist() for n, s in ((2, 0.3), (5, 0.0001), (4, 0.05), (6, 0.4))]
+    lats = [(np.cumsum(rng.normal(0, s, len(x))) + 40).tolist() for x, s in zip(lons, (0.3, 0.0001, 0.05, 0.4))]
+    one_way = [False, False, True, False]
+    for even in (False, True):
+        got = lines.references_of_lines(pa.array(lons), pa.array(lats), pa.array(one_way), even).to_pylist()
+        back = lines.reference_of_lines([x[::-1] for x in lons], [y[::-1] for y in lats], even).to_dict("records")
+        for k, row in enumerate(got):
+            assert (row["back"] is None) == one_way[k]
+            if row["back"] is not None:
+                for name in ("lons", "lats", "inbound", "outbound"):
+                    assert [x is None for x in row["back"][name]] == [x is None for x in back[k][name]]
+                    assert [x or 0 for x in row["back"][name]] == pytest.approx([x or 0 for x in back[k][name]], abs=1e-6)
+                assert row["back"]["distance"] == pytest.approx(back[k]["distance"])
+    empty = lines.references_of_lines(pa.array([], pa.list_(pa.float64())), pa.array([], pa.list_(pa.float64())), pa.array([], pa.bool_()))
+    assert len(empty) == 0

@@ -182,8 +182,9 @@ def test_json(spark, tmp_path):
         assert len(reference["locationReferences"]) == 2 and "inboundBearing" not in reference["locationReferences"][0]
     meta = json.loads(full.select(json_tiles.json_metadata()).first()[0])
     assert [s["wayId"] for s in meta["waySections"]] == [1, 2, 3, 4]
-    json_tiles.write_json(json_tiles.tile_json(full, refs, found), str(tmp_path / "json"))
-    assert len(list((tmp_path / "json").rglob("*.txt"))) == 1
+    (row,) = json_tiles.write_json(json_tiles.tile_json(full, refs, found), str(tmp_path / "json")).collect()
+    (path,) = (tmp_path / "json").rglob("*.json")
+    assert path.match(f"6/{row.tile}.json") and path.stat().st_size == row.n_bytes and set(json.loads(path.read_text())) == {"geometries", "references"}
 
 
 def test_paths_of_files():

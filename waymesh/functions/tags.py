@@ -15,11 +15,17 @@ LEVELS = (6, 4, 2, 0)
 _PREFIXES = (("motorway", "Motorway"), ("trunk", "Trunk"), ("primary", "Primary"), ("secondary", "Secondary"), ("tertiary", "Tertiary"), ("unclassified", "Unclassified"), ("residential", "Residential"))
 # Service tags whose roads are not service roads.
 _MINOR_SERVICE = ("parking", "driveway", "drive-through")
+_BLANKS = "".join(map(chr, range(0x21)))
+
+
+def stripped(text: Column) -> Column:
+    """Without leading and trailing blanks and control characters (all up to U+0020)."""
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def tag(tags: Column, key: str) -> Column:
     """The tag in lower case without surrounding blanks, empty where absent."""
-    return F.lower(F.trim(F.coalesce(F.try_element_at(tags, F.lit(key)), F.lit(""))))
+    return F.lower(stripped(F.coalesce(F.try_element_at(tags, F.lit(key)), F.lit(""))))
 
 
 def is_highway(tags: Column) -> Column:
@@ -54,4 +60,4 @@ def is_link(tags: Column) -> Column:
 
 
 def way_name(tags: Column) -> Column:
-    return F.trim(F.coalesce(F.try_element_at(tags, F.lit("name")), F.lit("")))
+    return stripped(F.coalesce(F.try_element_at(tags, F.lit("name")), F.lit("")))

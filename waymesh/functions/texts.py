@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymesh.functions.tags import stripped
 from waymesh.functions.types import kind
 
 # The Base58 alphabet used for addresses.
@@ -23,7 +24,7 @@ def string_to_map(text: Column) -> Column:
     parts = F.filter(F.split(text, r"\|"), lambda p: F.contains(p, F.lit("=")))
     pairs = F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.substr(p, F.instr(p, "=") + 1).alias("v")))
     last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["k"] == e["k"]))
-    return F.when(F.trim(text) != "", F.map_from_entries(last))
+    return F.when(stripped(text) != "", F.map_from_entries(last))
 
 
 def to_ascii(data: Column) -> Column:

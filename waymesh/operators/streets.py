@@ -94,11 +94,11 @@ def references(geometries: DataFrame, lpr_mode: str = "compat") -> DataFrame:
     location_references, reference_id, length."""
     measure = {"compat": lines.linear_reference, "even": lines.linear_reference_even}[lpr_mode]
     lon, lat = F.transform("points", lambda p: p["lon"]), F.transform("points", lambda p: p["lat"])
-    rows = geometries.withColumn("forward", measure(lon, lat)).withColumn("back", F.when(~F.col("one_way"), measure(F.reverse(lon), F.reverse(lat))))
-    forward = F.struct(F.lit("forward").alias("direction"), _lprs(F.col("forward"), F.col("start_node"), F.col("end_node")).alias("lprs"))
-    back = F.struct(F.lit("back").alias("direction"), _lprs(F.col("back"), F.col("end_node"), F.col("start_node")).alias("lprs"))
+    rows = geometries.withColumn("measured", measure(lon, lat, F.col("one_way")))
+    forward = F.struct(F.lit("forward").alias("direction"), _lprs(F.col("measured.forward"), F.col("start_node"), F.col("end_node")).alias("lprs"))
+    back = F.struct(F.lit("back").alias("direction"), _lprs(F.col("measured.back"), F.col("end_node"), F.col("start_node")).alias("lprs"))
     each = F.when(F.col("one_way"), F.array(forward)).otherwise(F.array(forward, back))
-    rows = rows.select("level", "seg_key", "geometry_id", "form_of_way", F.col("forward.length").alias("length"), F.explode(each).alias("r"))
+    rows = rows.select("level", "seg_key", "geometry_id", "form_of_way", F.col("measured.length").alias("length"), F.explode(each).alias("r"))
     rows = rows.select("level", "seg_key", "geometry_id", "form_of_way", "length", F.col("r.direction").alias("direction"), F.col("r.lprs").alias("location_references"))
     return rows.withColumn("reference_id", ids.reference_id(F.col("form_of_way"), F.col("location_references")))
 

@@ -1,20 +1,21 @@
 """Every registered query with, where SQL can express it, its DuckDB text.
 
 Queries run on the derived network of ``fixture``. Lists are shown as joined text, so both engines compare the
-same characters. Geometry and tile queries with an oracle take each unmerged section as a segment.
+same characters. Lengths and bearings are shown to one decimal: the SQL finds them by another method.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymesh.functions import ids, lines, tags, texts, tiles
 from waymesh.operators import network, segments, streets
-from waymesh.operators.durable import checkpointed
-from waymesh.plans import fixture
+from waymesh.operators.durable import checkpointed, fresh_path
+from waymesh.plans import fixture, geodesic_sql, street_sql
+from waymesh.plans.street_sql import GEOMETRY_TILES, MERGED, REFERENCES, STREETS, TILES
 from waymesh.sources import json_tiles, protobuf, tile_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,11 +88,11 @@ def _merged(spark: SparkSession, d: str, chain: bool = False) -> DataFrame:
 
 
 def _geometries(spark: SparkSession, d: str) -> DataFrame:
-    return streets.segment_geometries(_segments(spark, d))
+    return streets.segment_geometries(_merged(spark, d))
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
-    return streets.references(checkpointed(streets.segment_geometries(_merged(spark, d))))
+    return checkpointed(streets.references(_geometries(spark, d)))
 
 
 # --- projections, filters, predicates ------------------------------------------------------------------------
@@ -181,18 +182,18 @@ def intersections(spark, d):
 
 
 _ENDS = """,
-ends AS (SELECT *, unnest([first_node, last_node]) AS node_id FROM segments),
-flagged AS (SELECT e.*, m.node_id IS NOT NULL AS merging FROM ends e LEFT JOIN merging m ON m.level = e.level AND m.node_id = e.node_id),
-pairs AS (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key FROM flagged WHERE merging GROUP BY level, node_id HAVING count(*) = 2),
-judged AS (
+ends AS MATERIALIZED (SELECT *, unnest([first_node, last_node]) AS node_id FROM segments),
+flagged AS MATERIALIZED (SELECT e.*, m.node_id IS NOT NULL AS merging FROM ends e LEFT JOIN merging m ON m.level = e.level AND m.node_id = e.node_id),
+pairs AS MATERIALIZED (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key FROM flagged WHERE merging GROUP BY level, node_id HAVING count(*) = 2),
+judged AS MATERIALIZED (
   SELECT p.*, a.one_way = b.one_way AND a.link = b.link AND a.roundabout = b.roundabout
     AND (NOT (a.one_way OR a.roundabout) OR b.first_node = a.last_node OR a.first_node = b.last_node)
     AND a.way_id <> b.way_id AND a.first_node <> b.first_node AND a.last_node <> b.last_node AS mergeable
   FROM pairs p JOIN segments a ON a.level = p.level AND a.seg_key = p.a_key JOIN segments b ON b.level = p.level AND b.seg_key = p.b_key),
-cleaned AS (SELECT level, node_id, unnest([a_key, b_key]) AS seg_key FROM judged WHERE mergeable),
-joints AS (SELECT level, seg_key, arg_min(node_id, md5(CAST(node_id AS VARCHAR) || ',1')) AS node_id FROM cleaned GROUP BY level, seg_key),
-placed AS (SELECT s.*, j.node_id FROM segments s LEFT JOIN joints j ON j.level = s.level AND j.seg_key = s.seg_key),
-met AS (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key, count(*) AS n FROM placed WHERE node_id IS NOT NULL AND first_node <> last_node GROUP BY level, node_id),
+cleaned AS MATERIALIZED (SELECT level, node_id, unnest([a_key, b_key]) AS seg_key FROM judged WHERE mergeable),
+joints AS MATERIALIZED (SELECT level, seg_key, arg_min(node_id, md5(CAST(node_id AS VARCHAR) || ',1')) AS node_id FROM cleaned GROUP BY level, seg_key),
+placed AS MATERIALIZED (SELECT s.*, j.node_id FROM segments s LEFT JOIN joints j ON j.level = s.level AND j.seg_key = s.seg_key),
+met AS MATERIALIZED (SELECT level, node_id, min(seg_key) AS a_key, max(seg_key) AS b_key, count(*) AS n FROM placed WHERE node_id IS NOT NULL AND first_node <> last_node GROUP BY level, node_id),
 round AS (
   SELECT level, seg_key, 'final' AS status, 1 AS n_sections, first_node AS first, last_node AS last FROM placed WHERE node_id IS NULL OR first_node = last_node
   UNION ALL
@@ -238,36 +239,28 @@ def dedup_segment_ends(spark, d):
 @_query(_ENDS + "SELECT level, seg_key, status, n_sections, first, last FROM round")
 def merge_round(spark, d):
     sections, joints = _sections_of(fixture.ways(spark, d), fixture.nodes(spark, d))
-    rows = segments.outline(segments.merge_round(segments.initial_segments(sections), joints))
-    return rows.select("level", "seg_key", "status", F.size("sections").alias("n_sections"), "first", "last")
+    rows = segments.merge_round(segments.outline(segments.initial_segments(sections)), joints)
+    return rows.select("level", "seg_key", "status", F.size("ends").alias("n_sections"), "first", "last")
 
 
-@_query()
-def merged_segments(spark, d):
-    rows = segments.outline(_merged(spark, d))
-    return rows.select("level", "seg_key", F.size("sections").alias("n_sections"), "first", "last", _joined(streets.way_ids(F.col("sections"))).alias("way_ids"))
+def _shown(rows: DataFrame) -> DataFrame:
+    """Merged segments with the nodes of each section in order."""
+    nodes = F.array_join(F.transform("sections", lambda s: _joined(F.transform(s["nodes"], lambda p: p["node_id"]))), ";")
+    return segments.outline(rows).select("level", "seg_key", "one_way", F.size("sections").alias("n_sections"), "first", "last", _joined(streets.way_ids(F.col("sections"))).alias("way_ids"), nodes.alias("nodes"))
 
 
-@_query("SELECT level, CAST(count(*) AS BIGINT) AS n_sections, CAST(sum(way_id) AS BIGINT) AS sum_way_ids FROM segments GROUP BY level")
-def merged_totals(spark, d):
-    """Merging loses no section: what the merged segments hold is what there was before."""
-    each = _merged(spark, d).select("level", F.explode("sections").alias("s"))
-    return each.groupBy("level").agg(F.count("*").alias("n_sections"), F.sum("s.way_id").alias("sum_way_ids"))
+_SHOWN = """ SELECT level, seg_key, one_way, CAST(len(secs) AS INTEGER) AS n_sections, first, last, list_aggregate(list_transform(secs, lambda s: CAST(s.way_id AS VARCHAR)), 'string_agg', ',') AS way_ids,
+  list_aggregate(list_transform(secs, lambda s: list_aggregate(list_transform(s.nodes, lambda x: CAST(x AS VARCHAR)), 'string_agg', ',')), 'string_agg', ';') AS nodes """
 
 
-@_query(
-    """WITH w AS (SELECT p_partkey AS w, (p_partkey // 37) % 2 = 0 AS one_way, p_partkey % 23 = 0 AS turned FROM part)
-SELECT CAST(count(*) AS BIGINT) AS n_sections, CAST(sum(w) AS BIGINT) AS sum_way_ids FROM w"""
-)
-def chain_totals(spark, d):
-    each = _merged(spark, d, chain=True).where("level = 6").select(F.explode("sections").alias("s"))
-    return each.agg(F.count("*").alias("n_sections"), F.sum("s.way_id").alias("sum_way_ids"))
+@_query(f"{MERGED}{_SHOWN}FROM merged")
+def merged_segments(spark, d):
+    return _shown(_merged(spark, d))
 
 
-@_query()
+@_query(f"WITH {fixture.CHAIN_SQL}{street_sql.CHAINS}{_SHOWN}FROM cmerged")
 def chain_segments(spark, d):
-    rows = segments.outline(_merged(spark, d, chain=True))
-    return rows.select("level", "seg_key", F.size("sections").alias("n_sections"), "first", "last")
+    return _shown(_merged(spark, d, chain=True))
 
 
 @_query(",m AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus IN ('O', 'F')) AS rings, count(*) AS n FROM orders GROUP BY o_custkey) SELECT o_custkey AS id, CAST(n AS INTEGER) AS n_members FROM m WHERE rings = 0")
@@ -275,86 +268,66 @@ def non_area_relations(spark, d):
     return network.non_area_relations(fixture.relations(spark, d)).select("id", F.size("members").alias("n_members"))
 
 
-# --- segments as streets, on unmerged sections ----------------------------------------------------------------
-
-_LINE = """,
-kept_nodes AS (
-  SELECT * FROM (SELECT *, lag(node_id) OVER (PARTITION BY level, way_id, start_idx ORDER BY ord) AS before FROM section_nodes) WHERE before IS NULL OR before <> node_id),
-line AS (
-  SELECT level, way_id, start_idx, CAST(count(*) AS INTEGER) AS n_points, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord) AS line_nodes,
-    md5('Geometry' || string_agg(printf(' %.5f %.5f', lon, lat), '' ORDER BY ord)) AS geometry_id,
-    arg_min(node_id, ord) AS start_node, arg_max(node_id, ord) AS end_node,
-    arg_min(lon, ord) AS start_lon, arg_min(lat, ord) AS start_lat, arg_max(lon, ord) AS end_lon, arg_max(lat, ord) AS end_lat
-  FROM kept_nodes GROUP BY level, way_id, start_idx HAVING count(*) >= 2),
-streets AS (
-  SELECT s.*, n_points, line_nodes, geometry_id, start_node, end_node, start_lon, start_lat, end_lon, end_lat,
-    CAST(CASE WHEN link THEN 6 WHEN roundabout THEN 4 WHEN road_class = 0 THEN 1 WHEN road_class IN (1, 2) AND one_way THEN 2 WHEN road_class BETWEEN 1 AND 6 THEN 3 ELSE 7 END AS INTEGER) AS form_of_way
-  FROM segments s JOIN line l ON l.level = s.level AND l.way_id = s.way_id AND l.start_idx = s.start_idx),
-unique_streets AS (SELECT level, geometry_id, min(seg_key) AS seg_key FROM streets GROUP BY level, geometry_id)
-"""
-_TILE = """,
-pixels AS (
-  SELECT node_id, lon, lat,
-    CAST(floor(floor(least(greatest((lon + 180.0) / 360.0 * 1048576.0 + 0.5, 0.0), 1048575.0)) / 256) AS INTEGER) AS x,
-    CAST(floor(floor(least(greatest((0.5 - ln((1.0 + sin(lat * 3.141592653589793 / 180.0)) / (1.0 - sin(lat * 3.141592653589793 / 180.0))) / (4 * 3.141592653589793)) * 1048576.0 + 0.5, 0.0), 1048575.0)) / 256) AS INTEGER) AS y
-  FROM nodes),
-tiled AS (SELECT node_id, '12-' || x || '-' || y AS tile FROM pixels),
-geometry_tiles AS (
-  SELECT DISTINCT k.level, s.seg_key, t.tile FROM kept_nodes k JOIN streets s ON s.level = k.level AND s.way_id = k.way_id AND s.start_idx = k.start_idx JOIN tiled t ON t.node_id = k.node_id)
-"""
+# --- segments as streets ---------------------------------------------------------------------------------------
 
 
-@_query(_LINE + "SELECT level, seg_key, n_points, line_nodes FROM streets")
+@_query(STREETS + "SELECT level, seg_key, n_points, line_nodes FROM streets")
 def segment_geometry(spark, d):
-    rows = _segments(spark, d).withColumn("line", streets.polyline(F.col("sections"))).where(F.size("line") >= 2)
+    rows = _merged(spark, d).withColumn("line", streets.polyline(F.col("sections"))).where(F.size("line") >= 2)
     return rows.select("level", "seg_key", F.size("line").alias("n_points"), _joined(F.transform("line", lambda p: p["node_id"])).alias("line_nodes"))
 
 
-@_query(_LINE + "SELECT level, seg_key, geometry_id FROM streets")
+@_query(STREETS + "SELECT level, seg_key, geometry_id FROM streets")
 def geometry_id(spark, d):
     return _geometries(spark, d).select("level", "seg_key", "geometry_id")
 
 
-@_query(_LINE + "SELECT level, seg_key, form_of_way FROM streets")
+@_query(STREETS + "SELECT level, seg_key, form_of_way FROM streets")
 def form_of_way(spark, d):
     return _geometries(spark, d).select("level", "seg_key", "form_of_way")
 
 
-@_query(_LINE + "SELECT level, seg_key, road_class FROM streets")
+@_query(STREETS + "SELECT level, seg_key, road_class FROM streets")
 def geometry_road_class(spark, d):
     return _geometries(spark, d).select("level", "seg_key", "road_class")
 
 
-@_query("SELECT level, seg_key, road_class FROM segments")
+@_query(STREETS + "SELECT level, seg_key, classes[coalesce(list_position(list_transform(range(2, len(classes) + 1), lambda i: classes[i] > classes[i - 1]), true), len(classes))] AS road_class FROM lines")
 def segment_road_class(spark, d):
-    return _segments(spark, d).select("level", "seg_key", streets.leading_class(F.col("sections")).alias("road_class"))
+    return _merged(spark, d).select("level", "seg_key", streets.leading_class(F.col("sections")).alias("road_class"))
 
 
-@_query("SELECT level, seg_key, CAST(way_id AS VARCHAR) AS way_ids, true AS has_way FROM segments")
+@_query(MERGED + " SELECT level, seg_key, list_aggregate(list_transform(secs, lambda s: CAST(s.way_id AS VARCHAR)), 'string_agg', ',') AS way_ids, len(list_filter(secs, lambda s: s.way_id = secs[-1].way_id - 1)) > 0 AS has_way FROM merged")
 def segment_way_ids(spark, d):
     s = F.col("sections")
-    return _segments(spark, d).select("level", "seg_key", _joined(streets.way_ids(s)).alias("way_ids"), streets.contains_way(s, F.get(s, F.lit(0))["way_id"]).alias("has_way"))
+    return _merged(spark, d).select("level", "seg_key", _joined(streets.way_ids(s)).alias("way_ids"), streets.contains_way(s, F.element_at(s, -1)["way_id"] - 1).alias("has_way"))
 
 
-@_query("SELECT level, s.seg_key, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord DESC) AS node_ids FROM section_nodes JOIN segments s USING (level, way_id, start_idx) GROUP BY level, s.seg_key")
+@_query(STREETS + "SELECT level, seg_key, list_aggregate(list_transform(list_reverse(every), lambda x: CAST(x AS VARCHAR)), 'string_agg', ',') AS node_ids FROM lines")
 def reverse_segment(spark, d):
     turned = segments.reverse_sections(F.col("sections"))
     nodes = F.flatten(F.transform(turned, lambda s: F.transform(s["nodes"], lambda p: p["node_id"])))
-    return _segments(spark, d).select("level", "seg_key", _joined(nodes).alias("node_ids"))
+    return _merged(spark, d).select("level", "seg_key", _joined(nodes).alias("node_ids"))
 
 
-@_query("SELECT level, seg_key FROM segments WHERE first_node = last_node")
+@_query(MERGED + " SELECT level, seg_key FROM merged WHERE first = last")
 def loop_segments(spark, d):
-    return segments.outline(_segments(spark, d)).where("first = last").select("level", "seg_key")
+    return segments.outline(_merged(spark, d)).where("first = last").select("level", "seg_key")
 
 
-@_query(_LINE + "SELECT level, seg_key, name, CAST(1 AS INTEGER) AS n_sections, CAST(NULL AS VARCHAR) AS section_name, node_ids FROM streets")
+@_query(
+    STREETS
+    + """SELECT level, seg_key, CASE WHEN len(list_distinct(names)) = 1 THEN names[1] END AS name, CAST(len(secs) AS INTEGER) AS n_sections,
+  CASE WHEN len(list_distinct(names)) > 1 THEN list_aggregate(names, 'string_agg', ';') ELSE '' END AS section_names,
+  list_aggregate(list_transform(secs, lambda s: s.way_id || ':' || s.road_class || ':' || list_aggregate(list_transform(s.nodes, lambda x: CAST(x AS VARCHAR)), 'string_agg', ',')), 'string_agg', ';') AS sections FROM streets"""
+)
 def osm_metadata(spark, d):
-    first = F.get("metadata.way_sections", F.lit(0))
-    return _geometries(spark, d).select("level", "seg_key", F.col("metadata.name").alias("name"), F.size("metadata.way_sections").alias("n_sections"), first["name"].alias("section_name"), _joined(first["node_ids"]).alias("node_ids"))
+    each = F.col("metadata.way_sections")
+    told = F.array_join(F.transform(each, lambda s: F.concat_ws(":", s["way_id"].cast("string"), s["road_class"].cast("string"), _joined(s["node_ids"]))), ";")
+    return _geometries(spark, d).select("level", "seg_key", F.col("metadata.name").alias("name"), F.size(each).alias("n_sections"), F.array_join(F.transform(each, lambda s: s["name"]), ";").alias("section_names"), told.alias("sections"))
 
 
-@_query(_LINE + "SELECT level, geometry_id, seg_key FROM unique_streets")
+@_query(STREETS + "SELECT level, geometry_id, seg_key FROM unique_streets")
 def street_geometries(spark, d):
     return streets.street_geometries(_geometries(spark, d)).select("level", "geometry_id", "seg_key")
 
@@ -362,36 +335,33 @@ def street_geometries(spark, d):
 _OF = "md5(printf('Intersection %.5f %.5f', {0}_lon, {0}_lat) || ' ' || {0}_node)"
 
 
-@_query(_LINE + f"SELECT level, seg_key, {_OF.format('start')} AS start_intersection, {_OF.format('end')} AS end_intersection FROM streets")
+@_query(STREETS + f"SELECT level, seg_key, {_OF.format('start')} AS start_intersection, {_OF.format('end')} AS end_intersection FROM streets")
 def lpr_intersections(spark, d):
     a, z = F.get("points", F.lit(0)), F.element_at("points", -1)
     return _geometries(spark, d).select("level", "seg_key", ids.intersection_id(a["lon"], a["lat"], F.col("start_node")).alias("start_intersection"), ids.intersection_id(z["lon"], z["lat"], F.col("end_node")).alias("end_intersection"))
 
 
-@_query(_LINE + _TILE + "SELECT level, seg_key, tile FROM geometry_tiles")
+@_query(STREETS + TILES + GEOMETRY_TILES + "SELECT level, seg_key, tile FROM geometry_tiles")
 def tiled_geometries(spark, d):
     return streets.tiled_geometries(_geometries(spark, d), ZOOM).select("level", "seg_key", "tile")
 
 
-@_query(_LINE + _TILE + "SELECT DISTINCT level, node_id, tile FROM (SELECT level, unnest([start_node, end_node]) AS node_id FROM streets) JOIN tiled USING (node_id)")
+@_query(STREETS + TILES + REFERENCES + "SELECT level, intersection_id, node_id, tile FROM crossings JOIN tiled USING (node_id)")
 def tiled_intersections(spark, d):
-    end = lambda p, node: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), F.col(node).alias("node_id"))
-    ends = F.array(end(F.get("points", F.lit(0)), "start_node"), end(F.element_at("points", -1), "end_node"))
-    points = _geometries(spark, d).select("level", F.explode(ends).alias("p")).select("level", "p.*").distinct()
-    return streets.tiled_intersections(points, ZOOM).select("level", "node_id", "tile")
-
-
-@_query(_LINE + _TILE + "SELECT level, tile, CAST(count(*) AS BIGINT) AS n_records, 'geometry' AS type FROM geometry_tiles GROUP BY level, tile")
-def tile_file_manifest(spark, d):
-    rows = streets.tiled_geometries(_geometries(spark, d), ZOOM).groupBy("level", "tile").agg(F.count("*").alias("n_records"))
-    return rows.withColumn("type", F.lit("geometry"))
+    return streets.tiled_intersections(streets.street_intersections(_references(spark, d)), ZOOM).select("level", "intersection_id", "node_id", "tile")
 
 
-@_query(_TILE + "SELECT node_id, tile FROM tiled")
+@_query(TILES + "SELECT node_id, tile FROM tiled")
 def tile_ids(spark, d):
     return fixture.nodes(spark, d).select(F.col("id").alias("node_id"), tiles.tile_id(ZOOM, F.col("lon"), F.col("lat")).alias("tile"))
 
 
+@_query(TILES + "SELECT tile, CAST(row_number() OVER (ORDER BY x DESC, y DESC) AS INTEGER) AS place FROM (SELECT DISTINCT tile, x, y FROM tiled)")
+def tile_order(spark, d):
+    found = tile_ids(spark, d).select("tile").distinct()
+    return found.select("tile", F.row_number().over(Window.orderBy(*tiles.tile_order(F.col("tile")))).alias("place"))
+
+
 # --- ids and texts ---------------------------------------------------------------------------------------------
 
 
@@ -451,35 +421,117 @@ def _part(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/part.parquet")
 
 
-# --- geodesics, references, records: no SQL ---------------------------------------------------------------------
+# --- geodesics --------------------------------------------------------------------------------------------------
+
+_FAR = "SELECT node_id, lon AS lon1, lat AS lat1, lon + 0.01::DOUBLE AS lon2, lat + 0.005::DOUBLE AS lat2 FROM nodes"
 
 
-@_query()
-def geodesic_functions(spark, d):
+@_query(f""", far AS MATERIALIZED ({_FAR}){geodesic_sql.inverse("told", "far")}
+SELECT node_id, round(metres, 1) AS metres, round({geodesic_sql.degrees("azimuth1")}, 1) AS first, round({geodesic_sql.degrees("azimuth2")}, 1) AS last FROM told""")
+def geodesic_distance(spark, d):
     lon, lat = F.col("lon"), F.col("lat")
     far = (lon + 0.01, lat + 0.005)
-    return fixture.nodes(spark, d).select("id", lines.geodesic_distance(lon, lat, *far).alias("metres"), lines.azimuth(lon, lat, *far, F.lit(1.0)).alias("azimuth"), lines.interpolate(lon, lat, *far, F.lit(0.5)).alias("middle"), lines.envelope(lon, lat, F.lit(100.0)).alias("box"))
+    first, last = (lines.azimuth(lon, lat, *far, F.lit(f)) for f in (0.0, 1.0))
+    return fixture.nodes(spark, d).select(F.col("id").alias("node_id"), F.round(lines.geodesic_distance(lon, lat, *far), 1).alias("metres"), F.round(first, 1).alias("first"), F.round(last, 1).alias("last"))
+
+
+@_query(f""", far AS MATERIALIZED ({_FAR}){geodesic_sql.inverse("told", "far")},
+halves AS MATERIALIZED (SELECT node_id, lon1 AS lon, lat1 AS lat, {geodesic_sql.degrees("azimuth1")} AS azimuth, metres / 2 AS metres FROM told){geodesic_sql.direct("there", "halves")}
+SELECT node_id, round(lon2, 6) AS lon, round(lat2, 6) AS lat, round({geodesic_sql.degrees("azimuth2")}, 1) AS azimuth FROM there""")
+def interpolated_points(spark, d):
+    lon, lat, half = F.col("lon"), F.col("lat"), F.lit(0.5)
+    far = (lon + 0.01, lat + 0.005)
+    rows = fixture.nodes(spark, d).select(F.col("id").alias("node_id"), lines.interpolate(lon, lat, *far, half).alias("p"), lines.azimuth(lon, lat, *far, half).alias("z"))
+    return rows.select("node_id", F.round("p.lon", 6).alias("lon"), F.round("p.lat", 6).alias("lat"), F.round("z", 1).alias("azimuth"))
+
+
+@_query(f""", sides AS MATERIALIZED (SELECT node_id, lon, lat, unnest([0.0, 90.0, 180.0, 270.0]) AS azimuth, 100.0 AS metres FROM nodes){geodesic_sql.direct("there", "sides")}
+SELECT node_id, round(min(lon2), 6) AS min_lon, round(min(lat2), 6) AS min_lat, round(max(lon2), 6) AS max_lon, round(max(lat2), 6) AS max_lat FROM there GROUP BY node_id""")
+def envelopes(spark, d):
+    rows = fixture.nodes(spark, d).select(F.col("id").alias("node_id"), lines.envelope(F.col("lon"), F.col("lat"), F.lit(100.0)).alias("box"))
+    return rows.select("node_id", *(F.round(f"box.{c}", 6).alias(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")))
+
+
+# Lines on the equator, where lengths are arcs of a circle and feet of points lie on their meridians; every third
+# crosses 180 degrees.
+_EQUATOR = "SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 179.9::DOUBLE ELSE -74.0::DOUBLE + p_partkey % 100 END AS lon, 0.1::DOUBLE + (p_partkey % 7) * 0.01::DOUBLE AS step, (p_partkey % 11) / 10.0 AS share FROM part"
+
+
+def _east(x: str) -> str:
+    return f"(CASE WHEN {x} >= 180 THEN {x} - 360 ELSE {x} END)"
+
+
+def _equator(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    rows = _part(spark, d).select(k.alias("k"), F.when(k % 3 == 0, F.lit(179.9)).otherwise(F.lit(-74.0) + k % 100).alias("lon"), (F.lit(0.1) + (k % 7) * F.lit(0.01)).alias("step"), ((k % 11) / F.lit(10.0)).alias("share"))
+    at = lambda n: F.when(F.col("lon") + F.col("step") * n >= 180, F.col("lon") + F.col("step") * n - 360).otherwise(F.col("lon") + F.col("step") * n)
+    return rows.withColumn("lons", F.array(at(0), at(1), at(3))).withColumn("lats", F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0))).withColumn("x", at(3 * F.col("share")))
+
 
+@_query(f"WITH e AS ({_EQUATOR}) SELECT k, round(6378137.0 * radians(3 * step), 3) AS metres, round({_east('lon + 3 * step * share')}, 6) AS lon, 0.0::DOUBLE AS lat, 90.0::DOUBLE AS azimuth FROM e")
+def points_of_lines(spark, d):
+    lon, lat, f = F.col("lons"), F.col("lats"), F.col("share").cast("double")
+    rows = _equator(spark, d).select("k", lines.line_length(lon, lat).alias("m"), lines.line_point(lon, lat, f).alias("p"), lines.line_azimuth(lon, lat, f).alias("z"))
+    return rows.select("k", F.round("m", 3).alias("metres"), F.round("p.lon", 6).alias("lon"), F.round(F.abs("p.lat"), 6).alias("lat"), F.round("z", 6).alias("azimuth"))
 
-@_query()
+
+@_query(f"WITH e AS ({_EQUATOR}) SELECT k, round(3 * share, 6) AS on_leg, round(share, 6) AS on_line FROM e")
+def intercepts(spark, d):
+    """Places of points beside a line, on its first leg (beyond it too) and on the whole line."""
+    at = lambda i: F.get("lons", F.lit(i))
+    zero, north = F.lit(0.0), F.lit(0.05)
+    rows = _equator(spark, d).select("k", lines.intercept(at(0), zero, at(1), zero, F.col("x"), north).alias("leg"), lines.line_intercept("lons", "lats", "x", north).alias("line"))
+    return rows.select("k", F.round(F.abs("leg"), 6).alias("on_leg"), F.round("line", 6).alias("on_line"))
+
+
+@_query(f"WITH e AS ({_EQUATOR}) SELECT k, round({_east('lon + 3 * step * share')}, 6) AS lon, 0.0::DOUBLE AS lat FROM e")
+def crossings_of_lines(spark, d):
+    """Where a meridian meets the equator."""
+    at, zero, x = lambda i: F.get("lons", F.lit(i)), F.lit(0.0), F.col("x")
+    rows = _equator(spark, d).select("k", lines.intersect(at(0), zero, at(2), zero, x, F.lit(-0.3), x, F.lit(0.2)).alias("p"))
+    return rows.select("k", F.round("p.lon", 6).alias("lon"), F.round(F.abs("p.lat"), 6).alias("lat"))
+
+
+@_query("""WITH v AS (SELECT p_partkey AS k, p_size::DOUBLE AS x, (p_partkey % 13)::DOUBLE AS y, (p_partkey % 5)::DOUBLE AS z, 2.0::DOUBLE AS u, (p_partkey % 3)::DOUBLE AS v, p_size::DOUBLE AS w FROM part)
+SELECT k, x + u AS sum_x, 3 * y AS thrice_y, x * u + y * v + z * w AS dot, y * w - z * v AS cross_x, z * u - x * w AS cross_y, x * v - y * u AS cross_z FROM v""")
+def vectors(spark, d):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("double")
+    of = lambda *v: F.struct(*(x.cast("double").alias(c) for x, c in zip(v, "xyz", strict=True)))
+    a, b = of(size, k % 13, k % 5), of(F.lit(2), k % 3, size)
+    cross = lines.vector_cross(a, b)
+    return _part(spark, d).select(k.alias("k"), lines.vector_add(a, b)["x"].alias("sum_x"), lines.vector_multiply(a, F.lit(3.0))["y"].alias("thrice_y"), lines.vector_dot(a, b).alias("dot"), *(cross[c].alias(f"cross_{c}") for c in "xyz"))
+
+
+# --- references and records -------------------------------------------------------------------------------------
+
+
+@_query(STREETS + TILES + REFERENCES + "SELECT level, seg_key, direction, geometry_id, form_of_way, reference_id, round(length, 1) AS length FROM refs")
 def references(spark, d):
-    return _references(spark, d).select("level", "seg_key", "direction", "geometry_id", "form_of_way", "reference_id", "length")
+    return _references(spark, d).select("level", "seg_key", "direction", "geometry_id", "form_of_way", "reference_id", F.round("length", 1).alias("length"))
 
 
-@_query()
+@_query(STREETS + TILES + REFERENCES + f"""SELECT level, seg_key, direction, sequence, lon, lat, round(inbound, 1) AS inbound, round(outbound, 1) AS outbound, round(distance, 1) AS distance, node_id,
+  CASE WHEN node_id IS NOT NULL THEN {street_sql.intersection("lon", "lat", "node_id")} END AS intersection_id FROM lprs""")
 def location_references(spark, d):
-    return _references(spark, d).select("level", "seg_key", "direction", F.explode("location_references").alias("lpr")).select("level", "seg_key", "direction", "lpr.*")
+    rows = _references(spark, d).select("level", "seg_key", "direction", F.explode("location_references").alias("lpr")).select("level", "seg_key", "direction", "lpr.*")
+    return rows.withColumns({c: F.round(c, 1) for c in ("inbound", "outbound", "distance")})
+
 
+@_query(STREETS + TILES + REFERENCES + "SELECT level, seg_key, direction, reference_id FROM refs")
+def reference_id(spark, d):
+    return _references(spark, d).select("level", "seg_key", "direction", ids.reference_id(F.col("form_of_way"), F.col("location_references")).alias("reference_id"))
 
-@_query()
+
+@_query(STREETS + TILES + REFERENCES + "SELECT level, intersection_id, node_id, lon, lat, n_inbound, n_outbound, inbound, outbound FROM crossings")
 def street_intersections(spark, d):
     rows = streets.street_intersections(_references(spark, d))
-    return rows.select("level", "intersection_id", "node_id", "lon", "lat", F.size("inbound").alias("n_inbound"), F.size("outbound").alias("n_outbound"))
+    listed = {c: F.array_join(c, ",") for c in ("inbound", "outbound")}
+    return rows.select("level", "intersection_id", "node_id", "lon", "lat", F.size("inbound").cast("long").alias("n_inbound"), F.size("outbound").cast("long").alias("n_outbound"), *(v.alias(k) for k, v in listed.items()))
 
 
-@_query()
+@_query(STREETS + TILES + REFERENCES + "SELECT level, seg_key, direction, tile, reference_id FROM reference_tiles")
 def tiled_references(spark, d):
-    return streets.tiled_references(_references(spark, d), ZOOM).select("level", "tile", "reference_id")
+    return streets.tiled_references(_references(spark, d), ZOOM).select("level", "seg_key", "direction", "tile", "reference_id")
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
@@ -487,32 +539,93 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _streets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    geometries = checkpointed(streets.segment_geometries(_merged(spark, d)))
+    geometries = checkpointed(_geometries(spark, d))
     refs = checkpointed(streets.references(geometries))
-    return streets.street_geometries(geometries, refs), refs, streets.street_intersections(refs)
+    return checkpointed(streets.street_geometries(geometries, refs)), refs, checkpointed(streets.street_intersections(refs))
 
 
-@_query()
-def tile_records(spark, d):
-    return _records(spark, d).select("level", "tile", "type", "id", F.length("payload").alias("n_bytes"))
+_RECORDS = STREETS + TILES + GEOMETRY_TILES + REFERENCES + """,
+records AS MATERIALIZED (
+  SELECT g.level, g.tile, s.type, s.geometry_id AS id FROM geometry_tiles g JOIN (SELECT *, unnest(['geometry', 'metadata']) AS type FROM unique_streets) s ON s.level = g.level AND s.seg_key = g.seg_key
+  UNION ALL SELECT level, tile, 'reference', reference_id FROM reference_tiles
+  UNION ALL SELECT level, tile, 'intersection', intersection_id FROM crossings JOIN tiled USING (node_id))
+"""
 
 
-@_query()
-def tile_files_written(spark, d):
-    folder = tile_files.scratch_folder(spark)
-    return tile_files.write_tiles(_records(spark, d), folder).select("file", "n_records", "n_bytes")
+@_query(_RECORDS + "SELECT level, tile, type, id FROM records")
+def tile_records(spark, d):
+    return _records(spark, d).select("level", "tile", "type", "id")
 
 
-@_query()
-def tile_json(spark, d):
-    return json_tiles.tile_json(*_streets(spark, d), zoom=ZOOM).select("level", "tile", F.length("json").alias("n_chars"))
+@_query(_RECORDS + "SELECT tile || '.' || type || '.' || level || '.pbf' AS file, CAST(count(*) AS BIGINT) AS n_records FROM records GROUP BY tile, type, level")
+def tile_files_written(spark, d):
+    """The files are written and read back: their messages are counted."""
+    manifest = tile_files.write_tiles(_records(spark, d), tile_files.scratch_folder(spark))
+    return tile_files.read_tiles(manifest).groupBy("file").agg(F.count("*").alias("n_records"))
 
 
-@_query()
+@_query(STREETS + TILES + REFERENCES + "SELECT level, intersection_id AS id, node_id, lon, lat, inbound, outbound FROM crossings")
 def encode_roundtrip(spark, d):
     """Intersections as protobuf messages, read back."""
     _, _, found = _streets(spark, d)
-    return found.select("level", "node_id", protobuf.decode_intersection(protobuf.encode_intersection(found)).alias("m")).select("level", "node_id", "m.*")
+    rows = found.select("level", protobuf.decode_intersection(protobuf.encode_intersection()).alias("m")).select("level", "m.*")
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("inbound", "outbound")})
+
+
+# JSON texts are parsed again: number formats are an engine's own.
+
+
+@_query(STREETS + TILES + REFERENCES + """SELECT s.level, s.geometry_id, s.road_class, line_nodes, f.first_id AS start_id, f.last_id AS end_id, f.reference_id AS forward_id, b.reference_id AS back_id
+FROM unique_streets u JOIN streets s ON s.level = u.level AND s.seg_key = u.seg_key JOIN refs f ON f.level = s.level AND f.seg_key = s.seg_key AND f.direction = 'forward'
+LEFT JOIN refs b ON b.level = s.level AND b.seg_key = s.seg_key AND b.direction = 'back'""".replace("line_nodes", "(SELECT string_agg(printf('%.6f %.6f', lon, lat), ',' ORDER BY ord) FROM vertices v WHERE v.level = s.level AND v.seg_key = s.seg_key) AS places"))
+def json_geometry(spark, d):
+    rows, _, _ = _streets(spark, d)
+    plain = F.from_json(json_tiles.json_geometry(), "roadClass int, coordinates array<array<double>>")
+    full = F.from_json(json_tiles.json_geometry(verbose=True), "startIntersectionId string, endIntersectionId string, forwardReferenceId string, backReferenceId string")
+    place = F.array_join(F.transform("p.coordinates", lambda c: F.format_string("%.6f %.6f", F.get(c, F.lit(0)), F.get(c, F.lit(1)))), ",")
+    rows = rows.select("level", "geometry_id", plain.alias("p"), full.alias("f"))
+    return rows.select("level", "geometry_id", F.col("p.roadClass").alias("road_class"), place.alias("places"), F.col("f.startIntersectionId").alias("start_id"), F.col("f.endIntersectionId").alias("end_id"), F.col("f.forwardReferenceId").alias("forward_id"), F.col("f.backReferenceId").alias("back_id"))
+
+
+@_query(STREETS + TILES + REFERENCES + "SELECT level, intersection_id, node_id, round(lon, 6) AS lon, round(lat, 6) AS lat, CASE WHEN inbound <> '' THEN inbound END AS inbound, CASE WHEN outbound <> '' THEN outbound END AS outbound FROM crossings")
+def json_intersection(spark, d):
+    _, _, found = _streets(spark, d)
+    told = F.from_json(json_tiles.json_intersection(), "osmNodeId long, outboundSegmentIds array<string>, inboundSegmentIds array<string>, point array<double>")
+    at = lambda i: F.round(F.get("m.point", F.lit(i)), 6)
+    rows = found.select("level", "intersection_id", told.alias("m"))
+    return rows.select("level", "intersection_id", F.col("m.osmNodeId").alias("node_id"), at(0).alias("lon"), at(1).alias("lat"), F.array_join("m.inboundSegmentIds", ",").alias("inbound"), F.array_join("m.outboundSegmentIds", ",").alias("outbound"))
+
+
+@_query(STREETS + TILES + REFERENCES + f"""SELECT r.level, r.seg_key, r.direction, r.geometry_id, r.form_of_way, CAST(p.sequence AS INTEGER) AS sequence, round(p.outbound, 1) AS outbound, round(p.inbound, 1) AS inbound, round(round(p.distance, 2), 1) AS distance,
+  CASE WHEN p.node_id IS NOT NULL THEN {street_sql.intersection("p.lon", "p.lat", "p.node_id")} END AS intersection_id
+FROM refs r JOIN lprs p ON p.level = r.level AND p.seg_key = r.seg_key AND p.direction = r.direction""")
+def json_reference(spark, d):
+    one = "array<struct<point: array<double>, outboundBearing: double, distanceToNextRef: double, inboundBearing: double, intersectionId: string>>"
+    told = F.from_json(json_tiles.json_reference(), f"geometryId string, formOfWay int, locationReferences {one}")
+    rows = _references(spark, d).select("level", "seg_key", "direction", told.alias("m"))
+    rows = rows.select("level", "seg_key", "direction", F.col("m.geometryId").alias("geometry_id"), F.col("m.formOfWay").alias("form_of_way"), F.posexplode("m.locationReferences").alias("pos", "p"))
+    some = {"outbound": "outboundBearing", "inbound": "inboundBearing", "distance": "distanceToNextRef"}
+    return rows.select("level", "seg_key", "direction", "geometry_id", "form_of_way", (F.col("pos") + 1).alias("sequence"), *(F.round(f"p.{v}", 1).alias(k) for k, v in some.items()), F.col("p.intersectionId").alias("intersection_id"))
+
+
+@_query(STREETS + """SELECT level, geometry_id, seg_key, list_aggregate(list_transform(secs, lambda s: s.way_id || ':' || s.road_class || ':' || one_way || ':' || list_aggregate(list_transform(s.nodes, lambda x: CAST(x AS VARCHAR)), 'string_agg', ',')), 'string_agg', ';') AS sections
+FROM streets JOIN unique_streets USING (level, geometry_id, seg_key)""")
+def json_metadata(spark, d):
+    rows = streets.street_geometries(_geometries(spark, d))
+    told = F.from_json(json_tiles.json_metadata(), "geometryId string, waySections array<struct<wayId: long, roadClass: int, oneWay: boolean, nodeIds: array<long>>>")
+    one = lambda s: F.concat_ws(":", s["wayId"].cast("string"), s["roadClass"].cast("string"), s["oneWay"].cast("string"), _joined(s["nodeIds"]))
+    return rows.select("level", "seg_key", told.alias("m")).select("level", F.col("m.geometryId").alias("geometry_id"), "seg_key", F.array_join(F.transform("m.waySections", one), ";").alias("sections"))
+
+
+@_query(_RECORDS + """SELECT level, tile, CAST(count(DISTINCT id) FILTER (WHERE type = 'geometry') AS INTEGER) AS n_geometries, CAST(count(DISTINCT id) FILTER (WHERE type = 'reference') AS INTEGER) AS n_references
+FROM records WHERE type IN ('geometry', 'reference') GROUP BY level, tile""")
+def tile_json(spark, d):
+    """Documents of tiles, written as a file each and read back."""
+    folder = fresh_path(spark, "json")
+    manifest = json_tiles.write_json(json_tiles.tile_json(*_streets(spark, d), zoom=ZOOM), folder)
+    told = spark.read.text([r.file for r in manifest.collect()] or folder, wholetext=True).select(F.from_json("value", "geometries map<string,string>, references map<string,string>").alias("m"), F.input_file_name().alias("file"))
+    of = F.regexp_extract("file", r"([0-9]+)/([0-9]+-[0-9]+-[0-9]+)\.json$", 1).cast("int"), F.regexp_extract("file", r"([0-9]+-[0-9]+-[0-9]+)\.json$", 1)
+    return told.select(of[0].alias("level"), of[1].alias("tile"), F.coalesce(F.size("m.geometries"), F.lit(0)).alias("n_geometries"), F.coalesce(F.size("m.references"), F.lit(0)).alias("n_references"))
 
 
 def queries() -> dict[str, Query]:

@@ -10,7 +10,7 @@ import struct
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from waymesh.functions import ids
@@ -67,6 +67,24 @@ def delimited(message: bytes) -> bytes:
     return varint(len(message)) + message
 
 
+def messages(data: bytes) -> Iterable[bytes]:
+    """The length-delimited messages of a file, each with its length."""
+    at = 0
+    while at < len(data):
+        start, size, shift = at, 0, 0
+        while True:
+            byte = data[at]
+            at += 1
+            size |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                break
+        at += size
+        if at > len(data):
+            raise ValueError("truncated file")
+        yield data[start:at]
+
+
 def fields(data: bytes) -> list[tuple[int, int | bytes]]:
     """(number, value) of every field of a message, in order."""
     out, at = [], 0
@@ -146,7 +164,7 @@ def _apply(of: str, **columns: Column) -> Column:
     return _ENCODERS[of](F.struct(*(c.alias(k) for k, c in columns.items())))
 
 
-def encode_intersection(_: DataFrame | None = None) -> Column:
+def encode_intersection() -> Column:
     return _apply("intersection", **{k: F.col(k) for k in ("intersection_id", "node_id", "lon", "lat", "inbound", "outbound")})
 
 
