@@ -42,8 +42,10 @@ TABLE_LOG2 = 24
 LEAST_KNOWN = 0.5
 _END = 0x110000
 _TOP = 0x40000
-_PART = 500_000
-_ROWS = 500
+_PART = 1_000_000
+#: Characters of the texts that are decoded side by side; a row for each of their words is held.
+_ABREAST = 4_000_000
+_ROWS = 2000
 _BARRED = -30.0
 #: First code point of each script range (public Unicode block bounds) and a name for the script.
 SCRIPTS = (
@@ -259,7 +261,7 @@ def predict(texts: list[str | None], model: Model, penalty: float = SWITCH_PENAL
     """For each text its language, the score, and the share of its letters in words of a known script."""
     names, score, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
     n = len(model.languages)
-    for a, b in parts(texts) if n else ():
+    for a, b in parts(texts, _ABREAST // max(1, n // 8)) if n else ():
         words, labels = label(texts[a:b], model, penalty)
         letters = (words.end - words.start).astype(float)
         share = np.bincount(words.text * n + labels, weights=letters, minlength=(b - a) * n).reshape(-1, n)
