@@ -182,3 +182,32 @@ def test_both_directions_at_once():
                 assert row["back"]["distance"] == pytest.approx(back[k]["distance"])
     empty = lines.references_of_lines(pa.array([], pa.list_(pa.float64())), pa.array([], pa.list_(pa.float64())), pa.array([], pa.bool_()))
     assert len(empty) == 0
+
+
+def test_base58_against_whole_numbers(spark):
+    rnd = random.Random(6)
+    data = [rnd.randbytes(n) for n in (0, 1, 2, 3, 16, 16, 17, 31, 64) for _ in range(5)] + [b"\0" * 16, b"\0\0" + rnd.randbytes(14), b"\xff" * 16, None]
+    def plain(x):
+        n, out = int.from_bytes(x, "big"), ""
+        while n:
+            n, r = divmod(n, 58)
+            out = texts.BASE58[r] + out
+        return "1" * (len(x) - len(x.lstrip(b"\0"))) + out
+    coded = spark.createDataFrame([(i, d) for i, d in enumerate(data)], "i int, d binary").select("i", texts.base58(F.col("d")).alias("t"))
+    got = coded.select("i", "t", texts.base58_bytes("t").alias("back")).orderBy("i").collect()
+    assert [r.t for r in got] == [None if d is None else plain(d) for d in data]
+    assert [None if r.back is None else bytes(r.back) for r in got] == data
+
+
+def test_polylines_as_text(spark):
+    import base64
+    import struct
+
+    points = [(-74.0, 40.5), (-74.001, 40.25), (1.5, -2.0)]
+    raw = struct.pack("<i4d3i", 3, -74.001, -2.0, 1.5, 40.5, 1, 3, 0) + b"".join(struct.pack("<2d", *p) for p in points)
+    frame = spark.createDataFrame([([{"lon": x, "lat": y} for x, y in points], base64.b64encode(raw).decode()), (None, None)], "p array<struct<lon:double,lat:double>>, t string")
+    rows = frame.select(texts.polyline_from_ascii(F.col("t")).alias("q")).collect()
+    assert list(zip(rows[0].q.lons, rows[0].q.lats)) == points and rows[1].q.lons is None
+    assert bytes(frame.where("p is not null").select(texts.polyline_shape(F.col("p"))).first()[0]) == raw
+    with pytest.raises(Exception, match="shape"):
+        spark.createDataFrame([(base64.b64encode(raw[:60]).decode(),), ("AAAA",)], "t string").select(texts.polyline_from_ascii(F.col("t"))).collect()

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waymesh.functions import tags as T
 
 
+def counted(entities: DataFrame, name: str) -> tuple[Observation, DataFrame]:
+    """A counter of entities and the frame that feeds it: ``counter.get[name]`` once an action has run over it."""
+    counter = Observation(name)
+    return counter, entities.observe(counter, F.count(F.lit(1)).alias(name))
+
+
 def highway_ways(ways: DataFrame) -> DataFrame:
     return ways.where(T.is_highway(F.col("tags")))
 

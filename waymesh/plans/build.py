@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,12 @@ def build(spark: SparkSession, source: str, folder: str, zoom: int = 12, levels:
         raise FileExistsError(folder)
     spark.dataSource.register(OsmPbf)
     read = lambda kind: spark.read.format("osmpbf").option("kind", kind).load(source)
-    ways = checkpointed(network.highway_ways(read("way")))
+    way_counter, every_way = network.counted(read("way"), "ways")
+    node_counter, every_node = network.counted(read("node"), "nodes")
+    ways = checkpointed(network.highway_ways(every_way))
     links = network.way_node_links(ways)
-    points = network.way_points(links, network.node_positions(read("node")))
+    points = network.way_points(links, checkpointed(network.node_positions(every_node)))
+    logging.getLogger(__name__).info("ways %s, nodes %s", way_counter.get["ways"], node_counter.get["nodes"])
     kept = checkpointed(network.ways_at_level(ways, network.way_nodes(points), levels))
     found = checkpointed(network.intersections(network.filtered_links(links, kept)))
     cuts = network.grouped_split_points(network.way_split_points(network.splitting(found)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from waymesh.functions import ids, lines, tags, texts, tiles
 from waymesh.operators import network, segments, streets
 from waymesh.operators.durable import checkpointed, fresh_path
-from waymesh.plans import fixture, geodesic_sql, street_sql
+from waymesh.plans import extract, fixture, geodesic_sql, street_sql
 from waymesh.plans.street_sql import GEOMETRY_TILES, MERGED, REFERENCES, STREETS, TILES
 from waymesh.sources import json_tiles, protobuf, tile_files
 
@@ -412,9 +412,53 @@ def base64_roundtrip(spark, d):
     return _part(spark, d).select("p_partkey", ascii_.alias("ascii"), texts.from_ascii(ascii_).cast("string").alias("back"))
 
 
-@_query("SELECT p_partkey, md5(p_name) AS back FROM part")
+@_query("""SELECT p_partkey, md5(p_name) AS back, ltrim(list_aggregate(list_transform(range(21, -1, -1), lambda i: '123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz'[CAST((n // p[i + 1]) % 58 AS INTEGER) + 1]), 'string_agg', ''), '1') AS code
+FROM (SELECT p_partkey, p_name, list_reduce(list_transform(range(1, 33), lambda k: CAST(strpos('0123456789abcdef', md5(p_name)[k]) - 1 AS UHUGEINT)), lambda x, y: x * 16 + y) AS n FROM part)
+CROSS JOIN (SELECT list_transform(range(0, 22), lambda i: list_reduce(list_concat([1::UHUGEINT], list_transform(range(0, i), lambda j: 58::UHUGEINT)), lambda x, y: x * y)) AS p)""")
 def base58_roundtrip(spark, d):
-    return _part(spark, d).select("p_partkey", F.lower(F.hex(texts.base58_bytes(texts.base58(F.unhex(F.md5("p_name")))))).alias("back"))
+    code = texts.base58(F.unhex(F.md5("p_name")))
+    return _part(spark, d).select("p_partkey", F.lower(F.hex(texts.base58_bytes(code))).alias("back"), F.ltrim(code, F.lit("1")).alias("code"))
+
+
+@_query(f"{STREETS}SELECT level, seg_key, string_agg(printf('%.6f %.6f', lon, lat), ',' ORDER BY ord) AS places FROM vertices GROUP BY level, seg_key")
+def polyline_roundtrip(spark, d):
+    """Lines as Base64 of shape records, read back."""
+    rows = _geometries(spark, d).select("level", "seg_key", texts.polyline_from_ascii(texts.to_ascii(texts.polyline_shape(F.col("points")))).alias("p"))
+    place = F.transform(F.arrays_zip("p.lons", "p.lats"), lambda x: F.format_string("%.6f %.6f", x["lons"], x["lats"]))
+    return rows.select("level", "seg_key", F.array_join(place, ",").alias("places"))
+
+
+# --- files ------------------------------------------------------------------------------------------------------
+
+_STORED = "CAST(100 * CAST(round({0} * 10000000) AS BIGINT) AS DOUBLE) * 0.000000001::DOUBLE AS {0}"
+
+
+@_query(f"SELECT node_id AS id, {_STORED.format('lon')}, {_STORED.format('lat')}, CASE WHEN node_id % 7 = 0 THEN 'k=' || node_id ELSE '' END AS tags FROM nodes")
+def pbf_nodes(spark, d):
+    return extract.read_extract(spark, d, "node").select("id", "lon", "lat", texts.map_to_string(F.col("tags")).alias("tags"))
+
+
+@_query("""SELECT way_id AS id, concat_ws('|', 'highway=' || highway, 'junction=' || junction, 'name=' || name, 'oneway=' || oneway, 'service=' || service) AS tags, node_ids AS refs
+FROM ways JOIN (SELECT way_id, string_agg(CAST(node_id AS VARCHAR), ',' ORDER BY ord) AS node_ids FROM links GROUP BY way_id) USING (way_id)""")
+def pbf_ways(spark, d):
+    return extract.read_extract(spark, d, "way").select("id", texts.map_to_string(F.col("tags")).alias("tags"), _joined(F.col("refs")).alias("refs"))
+
+
+@_query(""",r AS (SELECT o_custkey AS id, string_agg(o_orderkey || ':' || CASE o_orderstatus WHEN 'O' THEN 'outer' WHEN 'F' THEN 'inner' ELSE '' END || ':way', ',' ORDER BY o_orderkey) AS members FROM orders GROUP BY o_custkey) SELECT id, members FROM r""")
+def pbf_relations(spark, d):
+    one = lambda m: F.concat_ws(":", m["ref"].cast("string"), m["role"], m["type"])
+    return extract.read_extract(spark, d, "relation").select("id", F.array_join(F.transform("members", one), ",").alias("members"))
+
+
+@_query("SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM ways) AS ways")
+def entity_counts(spark, d):
+    """The counters of a run: entities that passed its sources, observed while they are written."""
+    observed = {}
+    for kind, rows in (("nodes", fixture.nodes(spark, d)), ("ways", fixture.ways(spark, d))):
+        counter, rows = network.counted(rows, kind)
+        rows.write.format("noop").mode("overwrite").save()
+        observed[kind] = counter.get[kind]
+    return spark.createDataFrame([(observed["nodes"], observed["ways"])], "nodes long, ways long")
 
 
 def _part(spark: SparkSession, d: str) -> DataFrame:

@@ -15,6 +15,8 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -41,10 +43,6 @@ def coordinate(value: Column, granularity: Column, offset: Column) -> Column:
     return (granularity * value + offset).cast("double") * _NANO
 
 
-def _degrees(value: int, granularity: int, offset: int) -> float:
-    return float(granularity * value + offset) * _NANO
-
-
 def _signed(n: int) -> int:
     """Two's complement of 64 bits."""
     return n - (1 << 64) if n >> 63 else n
@@ -54,24 +52,22 @@ def _zigzag(n: int) -> int:
     return n >> 1 ^ -(n & 1)
 
 
-def _numbers(data: bytes) -> list[int]:
-    out, n, shift = [], 0, 0
-    for b in data:
-        n |= (b & 127) << shift
-        if b < 128:
-            out.append(n)
-            n = shift = 0
-        else:
-            shift += 7
-    return out
+def numbers(data: bytes) -> np.ndarray:
+    """The packed varints of a field, as uint64."""
+    own = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(own < 128)
+    if not len(ends):
+        return np.zeros(0, np.uint64)
+    start = np.append(0, ends[:-1] + 1)
+    own = own[: ends[-1] + 1]
+    place = np.arange(len(own)) - np.repeat(start, ends - start + 1)
+    return np.add.reduceat((own & 127).astype(np.uint64) << (7 * place).astype(np.uint64), start)
 
 
-def _deltas(data: bytes) -> list[int]:
-    out, total = [], 0
-    for n in _numbers(data):
-        total += _zigzag(n)
-        out.append(total)
-    return out
+def deltas(data: bytes) -> np.ndarray:
+    """The running sums of packed signed differences, as int64."""
+    n = numbers(data)
+    return np.cumsum((n >> np.uint64(1)).view(np.int64) ^ -(n & np.uint64(1)).view(np.int64))
 
 
 def _fields(message: bytes) -> dict[int, list]:
@@ -137,7 +133,7 @@ def data_blocks(data: bytes) -> Iterator[bytes]:
 
 
 class Block:
-    """A data block and its entities."""
+    """A data block and its entities, as Arrow batches."""
 
     def __init__(self, data: bytes):
         top = _fields(data)
@@ -145,42 +141,72 @@ class Block:
         self.granularity = _one(top, _BLOCK["granularity"], 100)
         self.lat_offset = _signed(_one(top, _BLOCK["lat_offset"], 0))
         self.lon_offset = _signed(_one(top, _BLOCK["lon_offset"], 0))
-        self.groups = [_fields(g) for g in top.get(_BLOCK["group"], [])]
+        self.groups = top.get(_BLOCK["group"], [])
+
+    def _messages(self, kind: str) -> Iterator[dict[int, list]]:
+        """Messages of a kind. A group holds one kind, told by its first byte; others are not read."""
+        number = _GROUP[kind]
+        for group in self.groups:
+            if group and group[0] >> 3 == number:
+                yield from map(_fields, (x for n, x in fields(group) if n == number))
 
     def text(self, i: int) -> str:
         return self.strings[i] if 0 <= i < len(self.strings) else ""
 
-    def tags(self, keys: list[int], values: list[int]) -> dict[str, str] | None:
-        return {self.text(k): self.text(v) for k, v in zip(keys, values, strict=False)} or None
+    def tags(self, keys, values) -> list[tuple[str, str]] | None:
+        return list({self.text(k): self.text(v) for k, v in zip(keys, values, strict=False)}.items()) or None
+
+    def _tags(self, m: dict[int, list]) -> list[tuple[str, str]] | None:
+        return self.tags(numbers(_one(m, 2)).tolist(), numbers(_one(m, 3)).tolist()) if 2 in m else None
+
+    def _places(self, ids, tags, lat, lon) -> pa.RecordBatch:
+        degrees = lambda x, offset: (self.granularity * np.asarray(x, np.int64) + offset).astype(float) * _NANO
+        return _batch("node", np.asarray(ids, np.int64), tags, degrees(lon, self.lon_offset), degrees(lat, self.lat_offset))
+
+    def nodes(self) -> Iterator[pa.RecordBatch]:
+        plain = [(_zigzag(_one(m, 1, 0)), self._tags(m), _zigzag(_one(m, 8, 0)), _zigzag(_one(m, 9, 0))) for m in self._messages("node")]
+        if plain:
+            yield self._places(*zip(*plain, strict=True))
+        for m in self._messages("dense"):
+            ids, lat, lon = deltas(_one(m, 1)), deltas(_one(m, 8)), deltas(_one(m, 9))
+            if not len(ids) == len(lat) == len(lon):
+                raise ValueError("a dense group with lists of different lengths")
+            # One list of key, value, ..., 0 for each node; no list at all where no node has tags.
+            flat = iter(numbers(_one(m, 10)).tolist())
+            tags = [None] * len(ids)
+            for i in range(len(ids) if 10 in m else 0):
+                keys, values = [], []
+                while (k := next(flat, 0)) != 0:
+                    keys.append(k)
+                    values.append(next(flat, 0))
+                tags[i] = self.tags(keys, values)
+            yield self._places(ids, tags, lat, lon)
+
+    def ways(self) -> Iterator[pa.RecordBatch]:
+        rows = [(_signed(_one(m, 1, 0)), self._tags(m), deltas(_one(m, 8)).tolist() or None) for m in self._messages("way")]
+        if rows:
+            yield _batch("way", *map(list, zip(*rows, strict=True)))
+
+    def relations(self) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for m in self._messages("relation"):
+            members = zip(deltas(_one(m, 9)).tolist(), map(self.text, numbers(_one(m, 8)).tolist()), (_MEMBER_TYPES[t] for t in numbers(_one(m, 10)).tolist()), strict=True)
+            rows.append((_signed(_one(m, 1, 0)), self._tags(m), [dict(zip(("ref", "role", "type"), x, strict=True)) for x in members] or None))
+        if rows:
+            yield _batch("relation", *map(list, zip(*rows, strict=True)))
+
+
+_TAGS = pa.map_(pa.string(), pa.string())
+_ARROW = {
+    "node": pa.schema([("id", pa.int64()), ("tags", _TAGS), ("lon", pa.float64()), ("lat", pa.float64())]),
+    "way": pa.schema([("id", pa.int64()), ("tags", _TAGS), ("refs", pa.list_(pa.int64()))]),
+    "relation": pa.schema([("id", pa.int64()), ("tags", _TAGS), ("members", pa.list_(pa.struct([("ref", pa.int64()), ("role", pa.string()), ("type", pa.string())])))]),
+}
 
-    def _tags(self, m: dict[int, list]) -> dict[str, str] | None:
-        return self.tags(_numbers(_one(m, 2)), _numbers(_one(m, 3)))
 
-    def nodes(self) -> Iterator[tuple]:
-        place = lambda lat, lon: (_degrees(lon, self.granularity, self.lon_offset), _degrees(lat, self.granularity, self.lat_offset))
-        for group in self.groups:
-            for m in map(_fields, group.get(_GROUP["node"], [])):
-                yield (_zigzag(_one(m, 1, 0)), self._tags(m), *place(_zigzag(_one(m, 8, 0)), _zigzag(_one(m, 9, 0))))
-            for m in map(_fields, group.get(_GROUP["dense"], [])):
-                # One list of key, value, ..., 0 for each node; no list at all where no node has tags.
-                flat = iter(_numbers(_one(m, 10)))
-                for node_id, lat, lon in zip(_deltas(_one(m, 1)), _deltas(_one(m, 8)), _deltas(_one(m, 9)), strict=True):
-                    keys, values = [], []
-                    while (k := next(flat, 0)) != 0:
-                        keys.append(k)
-                        values.append(next(flat, 0))
-                    yield (node_id, self.tags(keys, values), *place(lat, lon))
-
-    def ways(self) -> Iterator[tuple]:
-        for group in self.groups:
-            for m in map(_fields, group.get(_GROUP["way"], [])):
-                yield _signed(_one(m, 1, 0)), self._tags(m), _deltas(_one(m, 8)) or None
-
-    def relations(self) -> Iterator[tuple]:
-        for group in self.groups:
-            for m in map(_fields, group.get(_GROUP["relation"], [])):
-                members = zip(_deltas(_one(m, 9)), map(self.text, _numbers(_one(m, 8))), (_MEMBER_TYPES[t] for t in _numbers(_one(m, 10))), strict=True)
-                yield _signed(_one(m, 1, 0)), self._tags(m), list(members) or None
+def _batch(kind: str, *columns) -> pa.RecordBatch:
+    schema = _ARROW[kind]
+    return pa.RecordBatch.from_arrays([pa.array(list(c) if isinstance(c, tuple) else c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
 class OsmPbf(DataSource):
@@ -225,7 +251,7 @@ class _Reader(DataSourceReader):
                 out += [Blocks(uri, a, n) for a, n in block_ranges(source, source.size(), self.most)]
         return out
 
-    def read(self, partition: Blocks) -> Iterator[tuple]:
+    def read(self, partition: Blocks) -> Iterator[pa.RecordBatch]:
         if not isinstance(partition, Blocks):
             return
         files, path = filesystem(partition.uri)
