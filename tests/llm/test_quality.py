@@ -78,3 +78,26 @@ def test_nothing_trusted_and_nothing_at_all(spark):
     got = {r.doc_id: (r.perplexity, r.kept) for r in quality.quality(docs, none).collect()}
     assert got[1] == (pytest.approx(1.0), True) and got[2] == (None, False)
     assert quality.quality(docs.limit(0), none).count() == 0
+
+
+def test_splits_of_one_file(spark, tmp_path):
+    """A file of several splits gives the same perplexities as many files; were it split another way, the job fails."""
+    rows = [r[:3] for r in corpus(n=400) if r[0] is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    docs.coalesce(1).write.option("parquet.block.size", 4096).parquet(one)
+    docs.repartition(5).write.parquet(many)
+    model = quality.train(docs.where("doc_id < 100"))
+    show = lambda path: sorted((r.doc_id, r.perplexity and round(r.perplexity, 6)) for r in quality.perplexity(spark.read.parquet(path), model, stored=True).collect())
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        split = spark.read.parquet(one)
+        assert split.rdd.getNumPartitions() > 2
+        assert show(one) == show(many)
+        late = quality.perplexity(split, model, stored=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        with pytest.raises(Exception, match="split another way"):
+            late.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)

@@ -4,18 +4,21 @@
    the scan and summed by gram. Lower orders have continuation counts; discounts come from the counts of counts of
    each order; every gram gets its discounted share (alpha) and every context its back-off weight (gamma). All of
    this is grouped and joined by gram.
-2. Scoring. Documents are read by file; a file's distinct grams of all orders are joined, sharded by gram, with
-   the model, and the matches are written to the shared folder, a directory a file. The second scan reads the
-   directory of its file and adds up log-probabilities, so neither the model nor the texts go to one place.
+2. Scoring. Documents are read by split of a file; a split's distinct grams of all orders are joined, sharded by
+   gram, with the model, and the matches are written to the shared folder, a directory a split. The second scan reads
+   the directory of its split and adds up log-probabilities, so neither the model nor the texts go to one place. Were
+   files split another way then, the directory would be missing, and the job fails rather than give other numbers.
 3. Thresholds. Perplexity is compared with a quantile over the trusted documents of the held-out third of the
    same language (all languages, where a language has none; no limit, where there are none at all).
 
-What a task holds is bounded by the distinct grams of one input file. Digits count as one character; texts are
+What a task holds is bounded by the distinct grams of one split. Digits count as one character; texts are
 padded in front. The first pass emits each gram once a task, whatever its number of occurrences.
 
 Edge cases: null and empty texts have no perplexity and are not kept; a null lang is a language of its own; a row
 without doc_id is scored but never trusted; labels that contradict each other count as not trusted; without trusted
-text every character is equally likely and all texts with characters are kept. Other columns are ignored.
+text every character is equally likely and all texts with characters are kept. Repeated rows repeat, and rows that
+tie on doc_id are scored each by its own text; a perplexity equal to the threshold is kept. Very long texts are
+scored whole. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymesh.llm.common import durable, filesystem, fresh_path, table
+from waymesh.llm.common import durable, filesystem, fresh_path, give_back, table
 from waymesh.llm.op01_language import held_out, parts
 from waymesh.llm.wordhash import GOLDEN, mix
 
@@ -37,6 +40,8 @@ QUANTILE = 0.99
 PAD = "\x02"
 _PAD_CODE, _STEP = np.uint32(2), np.uint64(0x9AB5D9A1F3C7E54B)
 _TABLE_BITS = 22
+#: A key that stands in every split and in the model: it tells that the matches of a split are there.
+_PRESENT = 0
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +164,8 @@ class _Seen:
         return (keys >> self.shift).astype(np.int64)
 
 
-def _file_grams(docs: DataFrame) -> DataFrame:
-    """block, key: the distinct grams of all orders of each input file, once a task."""
+def _block_grams(docs: DataFrame) -> DataFrame:
+    """block, key: the distinct grams of all orders of each block of the input, once a task, and _PRESENT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, seen = None, None
@@ -169,6 +174,7 @@ def _file_grams(docs: DataFrame) -> DataFrame:
             for own in sorted(set(blocks)):
                 if own != block:
                     block, seen = own, [_Seen() for _ in range(2)]
+                    yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), pa.array([_PRESENT], pa.int64())], ["block", "key"])
                 mine = [t for t, b in zip(texts, blocks, strict=True) if b == own and t]
                 for a, b in parts(mine, 1_000_000):
                     codes, counts = _codes(mine[a:b])
@@ -200,7 +206,7 @@ def _keys_at(codes: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
 
 
 class _Scorer:
-    """Log-probabilities of the characters of one file's texts, from the matches of its grams."""
+    """Log-probabilities of the characters of one split's texts, from the matches of its grams."""
 
     def __init__(self, keys: np.ndarray, alpha: np.ndarray, gamma: np.ndarray, empty_gamma: float, uniform: float):
         order = np.argsort(keys)
@@ -242,14 +248,19 @@ class _Scorer:
 def perplexity(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame:
     """doc_id, lang, perplexity for every row of docs (doc_id, text, lang, ...).
 
-    ``stored``: docs reads files as they are (no join or shuffle before), so each row knows its file; else docs
+    ``stored``: docs reads files as they are (no join or shuffle before), so each row knows its split; else docs
     are first written to the shared folder.
     """
+    spark = docs.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # Both scans must split files alike, also if executors come or go between them.
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    lean = (lean if stored else durable(lean, "texts")).withColumn("block", F.xxhash64(F.input_file_name()))
-    grams = _file_grams(lean).repartition("key").distinct()
-    path = fresh_path(docs.sparkSession, "matches")
-    grams.join(model.grams, "key").repartition("block").sortWithinPartitions("block").write.partitionBy("block").parquet(path)
+    lean = (lean if stored else durable(lean, "texts")).withColumn("block", F.xxhash64(F.input_file_name(), F.input_file_block_start(), F.input_file_block_length()))
+    grams = _block_grams(lean).repartition("key").distinct()
+    path = fresh_path(spark, "matches")
+    known = model.grams.unionByName(spark.range(1).select(F.lit(_PRESENT).cast("long").alias("key"), F.lit(0.0).alias("alpha"), F.lit(1.0).alias("gamma")))
+    grams.join(known, "key").repartition("block").sortWithinPartitions("block").write.partitionBy("block").parquet(path)
     empty_gamma, uniform = model.empty_gamma, model.uniform
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +275,7 @@ def perplexity(docs: DataFrame, model: Model, stored: bool = False) -> DataFrame
                 for a, b in parts([texts[i] for i in mine], 1_000_000):
                     out[mine[a:b]] = scorer.perplexities([texts[i] for i in mine[a:b]])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.float64(), mask=np.isnan(out))], ["doc_id", "lang", "perplexity"])
+        give_back()
 
     return lean.mapInArrow(run, "doc_id long, lang string, perplexity double")
 
@@ -275,7 +287,10 @@ def _matches(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found = [x.path for x in files.get_file_info(fs.FileSelector(at, allow_not_found=True)) if x.path.endswith(".parquet")]
     tables = [pq.read_table(files.open_input_file(p)) for p in found]
     cat = lambda name, kind: np.concatenate([np.zeros(0, kind), *(t[name].to_numpy() for t in tables)])
-    return cat("key", np.int64).astype(np.int64).view(np.uint64), cat("alpha", np.float64), cat("gamma", np.float64)
+    keys = cat("key", np.int64).astype(np.int64)
+    if not (keys == _PRESENT).any():
+        raise RuntimeError("files were split another way by the second scan: set spark.sql.files.minPartitionNum and run again")
+    return keys.view(np.uint64), cat("alpha", np.float64), cat("gamma", np.float64)
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, stored: bool = False) -> DataFrame:

@@ -15,8 +15,9 @@ then the block, each by bisection, and then reads one byte range of the archive.
 Edge cases: null html is an empty payload; a null url is an empty one; payloads below ``least`` bytes are
 always responses; a page without page_id is always a response, and its refers_to and page_id are null; rows that
 repeat the response's page_id with the same payload are responses too, each in a record of its own; rows that
-repeat a page_id are all read back; an empty table gives no archive and an empty result. Other columns are
-ignored. Files of a repeated task replace equal ones; readers see whole files only.
+repeat a page_id are all read back; captures that tie on key and page stand in the order of their places; an
+empty table gives no archive and an empty result. Other columns are ignored. A very long page is one record, held
+whole by the task that writes or reads it. Files of a repeated task replace equal ones; readers see whole files only.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from waymesh.llm.common import durable, filesystem, fresh_path, publish, table
 MAGIC = b"WMCDX1\n\0"
 BLOCK_LINES = 2000
 READ_AHEAD = 4_000_000
+#: Bytes of archive that one task reads back.
+READ_TASK = 64_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NO_ID = -(1 << 63)
 
@@ -199,6 +202,8 @@ class CaptureIndex:
 
     def _directory(self, k: int):
         if self.open[0] != k:
+            if self.open[1] is not None:
+                self.open[1].close()
             row = self.shards[k]
             files, at = filesystem(row.path)
             source = files.open_input_file(at)
@@ -262,7 +267,8 @@ def look_up(keys: DataFrame, shards: DataFrame) -> DataFrame:
 
 def read_captures(folder: str, captures: DataFrame) -> DataFrame:
     """The records of captures (part, offset, length): page_id, url, payload_bytes, payload_digest, record_type,
-    refers_to, payload (null for revisits). Ranges that touch are read at once."""
+    refers_to, payload (null for revisits). Ranges that touch are read at once. The number of tasks follows the bytes
+    of archive that the captures name, not those of the captures themselves: it is stated, so it is kept."""
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
     def page(urn: str | None) -> int | None:
@@ -301,7 +307,9 @@ def read_captures(folder: str, captures: DataFrame) -> DataFrame:
             if held:
                 yield _batch(held)
 
-    dealt = captures.select("part", "offset", "length").repartitionByRange("part", "offset").sortWithinPartitions("part", "offset")
+    told = captures.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    tasks = max(1, min(captures.sparkSession.sparkContext.defaultParallelism, told.n // 500), (told.bytes or 0) // READ_TASK)
+    dealt = captures.select("part", "offset", "length").repartitionByRange(tasks, "part", "offset").sortWithinPartitions("part", "offset")
     return dealt.mapInArrow(run, schema)
 
 
@@ -316,4 +324,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, captures = write_archives(pages)
     shards = write_index(captures)
     keys = pages.select(url_key(F.col("url").cast("string")).alias("key"), F.col("page_id").cast("long").alias("page_id"))
-    return read_captures(folder, look_up(keys, shards)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = durable(look_up(keys, shards), "found")
+    return read_captures(folder, found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -41,7 +41,8 @@ THRESHOLD = 80
 SKETCH_SIMILARITY = 0.66
 BLOCK_NODES = 256
 BLOCK_BYTES = 8_000_000
-_PART = 4_000_000
+_PART = 2_000_000
+SALTS = 32
 
 
 def set_id(own: np.ndarray) -> int:
@@ -178,6 +179,13 @@ def _block_links(rows: DataFrame, keys: list[str], threshold: int, limit: float)
     return rows.groupBy(*keys).applyInArrow(run, "u long, v long")
 
 
+def _of_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows (pivot, node, ...) with what ``groups`` (pivot, ...) says of their group. Groups are repeated for each salt
+    and rows dealt by pivot and salt, so a large group is not one task's."""
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["pivot", "salt"], how).drop("salt")
+
+
 def near_duplicate_links(docs: DataFrame, signed: DataFrame, size: int, threshold: int = THRESHOLD, block_nodes: int = BLOCK_NODES, without_id: bool = False) -> DataFrame:
     """(u, v): links between nodes, enough of them to give the components of all links. Rows without doc_id take part
     if ``without_id`` says so."""
@@ -201,8 +209,9 @@ def near_duplicate_links(docs: DataFrame, signed: DataFrame, size: int, threshol
     sets = _sets(docs, wanted, size).join(sketch, "node")
     sets = durable(sets, "sets")
     sizes = members.join(sets.select("node", F.length("sset").alias("bytes")), "node").groupBy("pivot").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    sizes = sizes.select("pivot", F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    placed = durable(members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("node", "pivot"), F.col("blocks")).cast("int")), "placed")
+    sizes = sizes.select("pivot", F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")).where("blocks > 1")
+    placed = _of_group(members, sizes, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = durable(placed.withColumn("block", F.pmod(F.xxhash64("node", "pivot"), F.col("blocks")).cast("int")), "placed")
 
     # Within a block; the pivot stands in every block of its group.
     own = placed.where("node <> pivot").select("pivot", "block", "node")
@@ -218,10 +227,10 @@ def near_duplicate_links(docs: DataFrame, signed: DataFrame, size: int, threshol
     parted = durable(large.join(label, "node", "left").withColumn("label", F.coalesce("part", "node")).drop("part"), "parted")
     count = parted.groupBy("pivot", "label").agg(F.count("*").alias("n"))
     most = count.groupBy("pivot").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    parted = parted.join(most, "pivot").withColumn("out", F.col("label") != F.col("most.label"))
+    parted = _of_group(parted, most).withColumn("out", F.col("label") != F.col("most.label"))
     # Nodes outside the largest part are dealt anew to blocks of their own: their number is smaller.
     outside = parted.where("out").groupBy("pivot").agg(F.ceil(F.count("*") / block_nodes).cast("int").alias("lefts"))
-    parted = parted.join(outside, "pivot")
+    parted = _of_group(parted, outside)
     mine = parted.where("out").select("pivot", F.pmod(F.xxhash64("node"), F.col("lefts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "node", "label", F.lit(True).alias("l"), F.lit(False).alias("r"))
     theirs = parted.select("pivot", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), F.col("block").alias("j"), "node", "label", F.lit(False).alias("l"), F.lit(True).alias("r"))
     # A node may stand on both sides of a block: one row then.
