@@ -110,3 +110,42 @@ def test_long_part_of_a_long_item(spark):
     docs += [(100, " x ".join(" ".join(words[i : i + 8]) for i in range(0, 40, 8)))]
     got = found(spark, docs, [(1, " ".join(words))])
     assert {d for d, (leak, _) in got.items() if leak} == {13, 31}
+
+
+def test_scripts_without_spaces(spark):
+    item = "一列火车以每小时三十公里的速度离开车站驶向北方"
+    docs = [(1, f"他说{item}然后走了"), (2, "今天天气很好我们去公园散步"), (3, f"text before {item} text after"), (4, "\ue001Alpha\ue001 beta")]
+    assert {d for d, (leak, _) in found(spark, docs, [(1, item)]).items() if leak} == {1, 3}
+    assert found(spark, [(1, "x alpha\ue001beta gamma y")], [(5, "alpha beta gamma")])[1] == (True, [5])
+
+
+def test_reparameterised_questions(spark):
+    """Questions of random words and slots; copies with every slot value replaced consistently are found, copies with
+    the values of a repeated slot torn apart are not, whatever stands around them."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    items, docs, want = [], [], {}
+    for i in range(25):
+        words = [word() for _ in range(16)]
+        a, b = rnd.sample(range(10, 99), 2)
+        shape = " ".join([*words[:4], "{0}", *words[4:8], "{1}", *words[8:12], "{0}", *words[12:]])
+        items.append((i, shape.format(a, b)))
+        x, y = rnd.sample(range(100, 999), 2)
+        around = f"{' '.join(word() for _ in range(9))} %s {' '.join(word() for _ in range(9))}"
+        docs.append((2 * i, around % shape.format(x, y)))
+        want[2 * i] = (True, [i])
+        docs.append((2 * i + 1, around % " ".join(word() for _ in range(20))))
+        want[2 * i + 1] = (False, [])
+    assert found(spark, docs, items) == want
+
+
+def test_very_long_text(spark):
+    text = "nothing that any question asks " * 4000 + ITEM + " and so on " * 1000
+    assert found(spark, [(1, text), (1, text), (2, text.replace(ITEM, ""))]) == {1: (True, [1]), 2: (False, [])}
+
+
+def test_clashing_names(spark):
+    d = spark.createDataFrame([(1, ITEM, 5, 6), (2, FILL, 7, 8)], "doc_id long, text string, leak int, item_id int")
+    b = spark.createDataFrame([(1, ITEM, 9)], "item_id long, text string, doc_id int")
+    out = decon.clean(d, b)
+    assert out.columns == d.columns and [tuple(r) for r in out.collect()] == [(2, FILL, 7, 8)]

@@ -26,5 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_warc": op07_warc.ORACLE,
         "op9_mixing": op09_mixing.ORACLE,
+        "op10_minhash": op10_minhash.ORACLE,
     }

@@ -23,7 +23,9 @@ matches are shuffled, and only matched documents are read a second time for thei
 
 Edge cases: null and empty texts have no windows and are never contaminated; rows that repeat a doc_id are
 each judged by all rows of that doc_id; a row without doc_id is not judged and not contaminated; an
-empty benchmark contaminates nothing; duplicated items count once each. Extra columns are not touched.
+empty benchmark contaminates nothing; duplicated items count once each. Windows that tie, at one place or in
+several documents, each count. Very long texts are judged whole. In scripts without spaces each character is a
+token. Extra columns are not touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,9 +55,15 @@ _NAME_PATTERN = r"(?<=[^.!?:;\s" + _NAME + r"] )(?=\p{Lu}\p{Ll})"
 _TOKEN_PATTERN = _NAME + r"?\p{L}+|\p{Nd}+(?:[.,:/]\p{Nd}+)*"
 
 
+#: Scripts without spaces between words (Thai to Myanmar, Khmer, kana, Han): each character is a token.
+_SPACELESS = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
+
+
 def raw_tokens(text: Column) -> Column:
-    """Tokens as written; a name carries its mark in front."""
-    return F.regexp_extract_all(F.regexp_replace(F.coalesce(text, F.lit("")), _NAME_PATTERN, _NAME), F.lit(_TOKEN_PATTERN), F.lit(0))
+    """Tokens as written; a name carries its mark in front. The mark itself, in a text, counts as a space."""
+    apart = F.regexp_replace(F.translate(text, _NAME, " "), _SPACELESS, " $0 ")
+    plain = F.when(text.rlike(_SPACELESS + "|" + _NAME), apart).otherwise(F.coalesce(text, F.lit("")))
+    return F.regexp_extract_all(F.regexp_replace(plain, _NAME_PATTERN, _NAME), F.lit(_TOKEN_PATTERN), F.lit(0))
 
 
 def _is_number(token: Column) -> Column:
@@ -191,13 +199,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     hopeful = placed.groupBy("doc_id", "item_id", "of").agg(F.sum(F.size("at")).alias("n"), F.max(_long_run("at", window)).alias("run")).where(_enough(F.col("n"), coverage) | F.col("run")).select("doc_id", "item_id")
     placed = placed.join(hopeful, ["doc_id", "item_id"], "left_semi")
 
-    matched = named.join(placed.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", raw_tokens(F.col("text")).alias("doc_raw"))
+    matched = named.join(placed.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", _once(_plain(raw_tokens(F.col("text")))).alias("doc_raw"))
     slots = placed.join(matched, "doc_id").join(near(items.select("item_id", "raw", "template")), "item_id")
-    slots = slots.withColumn("raw", _plain(F.col("raw"))).withColumn("doc_raw", _plain(F.col("doc_raw")))
+    slots = slots.withColumn("raw", _once(_plain(F.col("raw"))))
     cells = F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(w["first"], w["last"]))))
     filled = F.filter(cells, lambda p: F.get("template", p).isin("<num>", "<name>", "<unit>"))
-    slots = slots.withColumn("cells", F.transform(filled, lambda p: F.struct(p.alias("p"), F.get("raw", p).alias("item"), F.get("doc_raw", p + F.col("offset")).alias("doc"))))
-    agreed = slots.withColumn("agreed", F.transform(F.array_distinct("cells.item"), _counterpart)).where(~F.exists("agreed", lambda x: x["doc"].isNull()))
+    slots = slots.withColumn("filled", _once(filled)).withColumn("cells", _once(F.transform("filled", lambda p: F.struct(p.alias("p"), F.get("raw", p).alias("item"), F.get("doc_raw", p + F.col("offset")).alias("doc")))))
+    agreed = slots.withColumn("agreed", _once(F.transform(F.array_distinct("cells.item"), _counterpart))).where(~F.exists("agreed", lambda x: x["doc"].isNull()))
     odd = F.filter("cells", lambda c: ~F.array_contains("agreed", F.struct(c["item"].alias("item"), c["doc"].alias("doc"))))
     judged = agreed.withColumn("odd", F.transform(odd, lambda c: c["p"]))
     judged = judged.withColumn("at", F.filter("at", lambda w: ~F.exists("odd", lambda p: p.between(w["first"], w["last"]))))
@@ -206,6 +214,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     return counted.where(_enough(F.col("windows"), coverage) | F.col("run")).select("doc_id", "item_id", "windows", "of")
 
 
+def _once(value: Column) -> Column:
+    """The value, made once a row: a plain expression would be put into the lambdas that use it, and be made again for
+    each of their elements."""
+    return F.explode(F.array(value))
+
+
 def _counterpart(value: Column) -> Column:
     """(item, doc): what a slot value of an item stands for in a document by its ``cells``: the most frequent value
     there, at a tie the item's own; null where other values tie."""

@@ -326,3 +326,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = pages.select(url_key(F.col("url").cast("string")).alias("key"), F.col("page_id").cast("long").alias("page_id"))
     found = durable(look_up(keys, shards), "found")
     return read_captures(folder, found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS MATERIALIZED (SELECT page_id, sha1(coalesce(html, '')) AS sha, strlen(coalesce(html, '')) AS size FROM pages),
+f AS (SELECT sha, size, min(page_id) AS first FROM p GROUP BY sha, size)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((CAST('0x' || substr(sha, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1]), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM p JOIN f USING (sha, size)
+"""

@@ -279,3 +279,22 @@ def deduplicated(docs: DataFrame, size: int = 5, threshold: int = THRESHOLD) ->
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+#: All pairs of documents that share a shingle: for small tables only.
+ORACLE = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+pairs AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (na + nb - shared)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id, s.doc_id = coalesce(l.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN least l ON l.doc_id = s.doc_id
+"""
