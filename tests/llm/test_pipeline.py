@@ -69,3 +69,21 @@ def test_stages_of_nothing(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_odd_rows_through_the_stages(spark, sf_dir):
+    """Repeated doc_ids with other texts, a very long text, repeated rows, nulls, and columns named like those used inside."""
+    rows, _ = corpus()
+    long = " ".join(f"the{'abcdefgh'[i % 8]}{'rstuvw'[i % 6]}{'klmnop'[i // 7 % 6]}th" for i in range(20_000))
+    extra = [(1, "quite another text under the first id the house", "en", "a", 1), (500, long, "en", "b", 2), (500, long, "en", "b", 2), (None, rows[60][1], None, "c", 3), (None, None, None, None, None)]
+    docs = spark.createDataFrame([(*r, "x", 7, 8) for r in [*rows, *extra]], SCHEMA + ", leak string, copy int, did int")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == columns, name
+        if name == "near_dedup":
+            got = docs.collect()
+            assert sorted(r.n_chars for r in got if r.doc_id == 1) == sorted([len(rows[1][1]), 1]) and sum(r.doc_id == 500 for r in got) == 1
+            assert not any(r.doc_id is None for r in got)
+    assert all((r.leak, r["copy"], r.did) == ("x", 7, 8) for r in docs.collect())
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() == docs.count()
