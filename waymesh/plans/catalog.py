@@ -44,18 +44,32 @@ def _joined(values: Column) -> Column:
 # --- the stages of the network, each built on the one before -------------------------------------------------
 
 
+def _highways(spark: SparkSession, d: str) -> DataFrame:
+    return network.highway_ways(fixture.ways(spark, d))
+
+
 def _links(spark: SparkSession, d: str) -> DataFrame:
-    return network.way_node_links(network.highway_ways(fixture.ways(spark, d)))
+    return network.way_node_links(_highways(spark, d))
+
+
+def _with_positions(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    return network.ways_at_level(ways, network.way_nodes(network.way_points(network.way_node_links(ways), network.node_positions(nodes))))
 
 
 def _kept(spark: SparkSession, d: str) -> DataFrame:
-    ways = network.highway_ways(fixture.ways(spark, d))
-    points = network.way_points(network.way_node_links(ways), network.node_positions(fixture.nodes(spark, d)))
-    return network.ways_at_level(ways, network.way_nodes(points))
+    return _with_positions(checkpointed(_highways(spark, d)), fixture.nodes(spark, d))
+
+
+def _network(ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept ways, intersections); what both need is computed once."""
+    ways = checkpointed(network.highway_ways(ways))
+    kept = checkpointed(_with_positions(ways, nodes))
+    return kept, network.intersections(network.filtered_links(network.way_node_links(ways), kept))
 
 
 def _filtered(spark: SparkSession, d: str) -> DataFrame:
-    return network.filtered_links(_links(spark, d), _kept(spark, d))
+    ways = checkpointed(_highways(spark, d))
+    return network.filtered_links(network.way_node_links(ways), _with_positions(ways, fixture.nodes(spark, d)))
 
 
 def _crossings(spark: SparkSession, d: str) -> DataFrame:
@@ -63,18 +77,15 @@ def _crossings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sections_of(ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sections, merging nodes) of a network; what both need is computed once."""
-    ways = network.highway_ways(ways)
-    links = network.way_node_links(ways)
-    kept = checkpointed(network.ways_at_level(ways, network.way_nodes(network.way_points(links, network.node_positions(nodes)))))
-    found = checkpointed(network.intersections(network.filtered_links(links, kept)))
+    """(sections, merging nodes) of a network."""
+    kept, found = _network(ways, nodes)
+    found = checkpointed(found)
     points = network.grouped_split_points(network.way_split_points(network.splitting(found)))
     return network.way_sections(kept, points), network.merging(found)
 
 
 def _sections(spark: SparkSession, d: str) -> DataFrame:
-    points = network.grouped_split_points(network.way_split_points(network.splitting(_crossings(spark, d))))
-    return network.way_sections(_kept(spark, d), points)
+    return _sections_of(fixture.ways(spark, d), fixture.nodes(spark, d))[0]
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +221,8 @@ def segment_ends(spark, d):
 
 
 def _flagged(spark, d):
-    return segments.segment_end_merging(segments.segment_ends(_segments(spark, d)), network.merging(_crossings(spark, d)))
+    sections, joints = _sections_of(fixture.ways(spark, d), fixture.nodes(spark, d))
+    return segments.segment_end_merging(segments.segment_ends(segments.initial_segments(sections)), joints)
 
 
 @_query(_ENDS + "SELECT level, seg_key, node_id, merging FROM flagged")
