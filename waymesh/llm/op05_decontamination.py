@@ -51,7 +51,8 @@ UNITS = (
 ).split()
 #: Marks a capitalised word that does not begin a sentence.
 _NAME = "\ue001"
-_NAME_PATTERN = r"(?<=[^.!?:;\s" + _NAME + r"] )(?=\p{Lu}\p{Ll})"
+# What is rare, a capital, is looked for first.
+_NAME_PATTERN = r"(?=\p{Lu}\p{Ll})(?<=[^.!?:;\s" + _NAME + r"] )"
 _TOKEN_PATTERN = _NAME + r"?\p{L}+|\p{Nd}+(?:[.,:/]\p{Nd}+)*"
 
 
@@ -69,7 +70,8 @@ def raw_tokens(text: Column) -> Column:
 
 
 def _is_number(token: Column) -> Column:
-    return token.rlike(r"^\p{Nd}")
+    first = F.ascii(token)
+    return F.when(first < 128, first.between(48, 57)).otherwise(token.rlike(r"^\p{Nd}"))
 
 
 def _kind(tokens: Column):
