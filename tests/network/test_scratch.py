@@ -44,7 +44,7 @@ def test_settled_removes_what_it_passed(spark):
     assert len(folders(spark) - old) == 1 and sorted(r.id for r in rows.collect()) == [4, 5, 6, 7, 8]
 
 
-@pytest.mark.parametrize("name", ["encode_roundtrip"])
+@pytest.mark.parametrize("name", ["encode_roundtrip", "json_intersection"])
 def test_intersections_write_no_references(spark, name):
     n, found = steps(spark, name)
     assert n > 1000 and not any({"location_references", "points", "inbound"} & x for x in found)
