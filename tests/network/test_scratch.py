@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from waymesh.operators import streets
 from waymesh.operators.durable import checkpointed, settled, shared_dir
 from waymesh.plans import catalog
 
@@ -49,3 +50,22 @@ def test_intersections_write_no_references(spark, name):
     n, found = steps(spark, name)
     assert n > 1000 and not any({"location_references", "points", "inbound"} & x for x in found)
     assert len(found) == 1  # the placed segments
+
+
+@pytest.mark.parametrize("name", ["json_geometry"])
+def test_streets_write_one_frame(spark, name):
+    """The measured geometries, and the list of repeated ids; no frame of references or of streets beside them."""
+    n, found = steps(spark, name)
+    assert n > 1000 and len(found) == 2 and {"level", "geometry_id", "least"} in found
+    assert not any({"location_references", "forward_reference_id", "inbound"} & x for x in found)
+
+
+def test_measured_geometries_tell_the_same(spark):
+    rows = catalog._measured(spark, DATA).cache()
+    bare = rows.drop("measured")
+    # A second segment with the geometry of each tenth: the least one stays.
+    copies = lambda x: x.unionByName(x.where("crc32(seg_key) % 10 = 0").withColumn("seg_key", F.concat("seg_key", F.lit("x"))))
+    told = streets.street_geometries(copies(rows)).drop("metadata")
+    want = streets.street_geometries(copies(bare), streets.references(copies(bare))).drop("metadata").select(told.columns)
+    assert told.count() == bare.count() and not told.where("seg_key like '%x'").count()
+    assert told.exceptAll(want).isEmpty() and want.exceptAll(told).isEmpty()
