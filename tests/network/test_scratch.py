@@ -52,7 +52,7 @@ def test_intersections_write_no_references(spark, name):
     assert len(found) == 1  # the placed segments
 
 
-@pytest.mark.parametrize("name", ["json_geometry"])
+@pytest.mark.parametrize("name", ["json_geometry", "tile_records"])
 def test_streets_write_one_frame(spark, name):
     """The measured geometries, and the list of repeated ids; no frame of references or of streets beside them."""
     n, found = steps(spark, name)
