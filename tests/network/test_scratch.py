@@ -69,3 +69,22 @@ def test_measured_geometries_tell_the_same(spark):
     want = streets.street_geometries(copies(bare), streets.references(copies(bare))).drop("metadata").select(told.columns)
     assert told.count() == bare.count() and not told.where("seg_key like '%x'").count()
     assert told.exceptAll(want).isEmpty() and want.exceptAll(told).isEmpty()
+
+
+def test_shares_of_tiles_are_all_records(spark):
+    from waymesh.sources import tile_files
+
+    parts = catalog._records_of(catalog._measured(spark, DATA).where("level = 2").cache())
+    whole = tile_files.tile_records(*parts).cache()
+    one = whole.agg(F.min("tile")).first()[0]
+    split = [tile_files.tile_records(*parts, among=lambda tile, k=k: (tile == one) == F.lit(k)) for k in (True, False)]
+    assert all(0 < x.count() < whole.count() for x in split)
+    both = split[0].unionByName(split[1])
+    assert both.count() == whole.count() and whole.exceptAll(both).isEmpty()
+
+
+def test_files_make_room(spark):
+    """Files are gone when they have been read back."""
+    old = folders(spark)
+    assert catalog.queries()["tile_files_written"](spark, DATA).count() > 100
+    assert not [x for x in folders(spark) - old if "/tiles-" in x and os.path.exists(x)]
