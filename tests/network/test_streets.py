@@ -6,6 +6,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from waymesh.functions import tiles
 from waymesh.operators import network, segments, streets
 from waymesh.operators.durable import checkpointed
 from waymesh.sources import json_tiles, protobuf, tile_files
@@ -189,3 +190,67 @@ def test_json(spark, tmp_path):
 
 def test_paths_of_files():
     assert filesystem("/a/b")[1] == "/a/b" and filesystem("file:///a/b")[1] == "/a/b"
+
+
+def test_names_of_a_batch_are_those_of_rows(spark):
+    """Texts of numbers (ties, signs, zeros, great and missing ones), tiles, ids of geometries and references."""
+    import numpy as np
+    import pyarrow as pa
+
+    from waymesh.functions import names
+
+    r = np.random.default_rng(5)
+    x = np.concatenate([r.uniform(-180, 180, 3000), np.round(r.uniform(-1, 1, 3000), 6), r.integers(-400, 400, 3000) / 2 / 1e5, r.integers(-(10**6), 10**6, 3000) / 64, [0.0, -0.0, -1e-7, 1e-7, 1e9, -1e15, 123456.789, np.inf, -np.inf, np.nan]])
+    want = [v.s for v in spark.createDataFrame([(float(v),) for v in x], "x double").select(F.format_string("%.5f", "x").alias("s")).collect()]
+    assert names.five_decimals(x).to_pylist() == want
+    lon, lat = r.uniform(-180, 180, 5000), r.uniform(-90, 90, 5000)
+    places = spark.createDataFrame(list(zip(lon.tolist(), lat.tolist(), strict=True)), "lon double, lat double")
+    for zoom in (0, 12, 22, 23):
+        x, y = names.tile_xy(zoom, lon, lat)
+        assert [v.t for v in places.select(tiles.tile_id(zoom, F.col("lon"), F.col("lat")).alias("t")).collect()] == [f"{zoom}-{a}-{b}" for a, b in zip(x, y, strict=True)]
+    assert names.names_of_lines(pa.array([], pa.list_(pa.struct({"node_id": pa.int64(), "lat": pa.float64(), "lon": pa.float64()}))), pa.array([], pa.bool_()), pa.array([], pa.int32()), 12).to_pylist() == []
+
+
+@pytest.mark.parametrize("mode", ["compat", "even"])
+def test_names_are_those_of_records(spark, mode):
+    """Lines of one to 60 nodes, some repeated, some in one place, some equal under two keys; the records with payload
+    have the same names."""
+    import random
+
+    roll = random.Random(8)
+    rows = []
+    for k in range(400):
+        step = roll.choice([0.0, 0.0001, 0.01, 0.2])
+        nodes = [(j if roll.random() < 0.9 else j - 1, 50 + roll.random() * step, -0.2 + j * step) for j in range(1, 1 + roll.choice([1, 2, 2, 3, 5, 60]))]
+        cut = roll.randrange(len(nodes)) if len(nodes) > 3 else 0
+        parts = [nodes[: cut + 1], nodes[cut:]] if cut else [nodes]
+        sections = [(k, 0, "a", False, False, False, roll.choice([3, 5]), p) for p in parts]
+        for key in {f"{k:03}", f"{k - k % 7:03}x" if k % 7 == 0 else f"{k:03}"}:
+            rows.append((roll.choice([4, 6]), key, k % 3 == 0, k % 11 == 0, k % 13 == 0, sections))
+    of = "level int, seg_key string, one_way boolean, link boolean, roundabout boolean, sections array<struct<way_id: long, start_idx: int, name: string, one_way: boolean, roundabout: boolean, link: boolean, road_class: int, nodes: array<struct<node_id: long, lat: double, lon: double>>>>"
+    merged = spark.createDataFrame(rows, of).cache()
+    full = streets.measured(streets.segment_geometries(merged), mode).cache()
+    refs = streets.references(full)
+    want = tile_files.tile_records(streets.street_geometries(full), refs, streets.street_intersections(refs)).drop("payload").cache()
+    got = tile_files.record_names(streets.named(merged, 12, mode).cache()).select(want.columns).cache()
+    assert want.count() > 2000 and {r[0] for r in want.select("type").distinct().collect()} == set(tile_files.TYPES)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_bearings_that_are_not_there_cost_nothing(monkeypatch):
+    """The first of two references has no inbound bearing, the last none onward; the inverse problem is not solved for them."""
+    from waymesh.functions import geodesic, lines
+
+    solved = []
+    solve = geodesic.inverse
+    monkeypatch.setattr(geodesic, "inverse", lambda *a: solved.append(len(a[0])) or solve(*a))
+    found = lines.reference_of_lines([[0.0, 0.1], [0.0, 0.1]], [[10.0, 10.0], [20.0, 20.0]])
+    assert sum(solved) == 2  # the leg of each line
+    assert found.outbound.map(lambda x: x[1]).isna().all() and found.inbound.map(lambda x: x[0]).isna().all()
+
+
+def test_names_are_made_once(spark):
+    """The filter of short lines stays above the function: one pass in Python."""
+    of = "level int, seg_key string, one_way boolean, link boolean, roundabout boolean, sections array<struct<way_id: long, start_idx: int, name: string, one_way: boolean, roundabout: boolean, link: boolean, road_class: int, nodes: array<struct<node_id: long, lat: double, lon: double>>>>"
+    rows = streets.named(spark.createDataFrame([], of))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
