@@ -254,3 +254,18 @@ def test_names_are_made_once(spark):
     of = "level int, seg_key string, one_way boolean, link boolean, roundabout boolean, sections array<struct<way_id: long, start_idx: int, name: string, one_way: boolean, roundabout: boolean, link: boolean, road_class: int, nodes: array<struct<node_id: long, lat: double, lon: double>>>>"
     rows = streets.named(spark.createDataFrame([], of))
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_batches_make_the_same_messages(spark):
+    """Records of measured geometries in Arrow batches, to the byte those of tile_records; far-flung numbers too."""
+    from waymesh.plans import catalog
+
+    rows = catalog._measured(spark, "/root/testdata/sf0.001").where("level >= 4")
+    odd = rows.limit(40).withColumns({"seg_key": F.concat("seg_key", F.lit("y")), "road_class": F.lit(0), "start_node": F.lit(-5).cast("long"), "end_node": F.lit(2**62), "points": F.transform("points", lambda p, i: F.struct((p["lon"] * 0 + i * 0.3).alias("lon"), (p["lat"] * 0).alias("lat")))})
+    rows = checkpointed(streets.measured(rows.unionByName(odd).withColumn("geometry_id", F.when(F.col("seg_key").endswith("y"), F.md5("seg_key")).otherwise(F.col("geometry_id"))).drop("measured")))
+    refs = streets.references(rows)
+    want = tile_files.tile_records(streets.street_geometries(rows), refs, streets.street_intersections(refs)).cache()
+    told = streets.measured_names(rows).cache()
+    for kind, got in tile_files.street_records(told, streets.least_streets(told), 12, lambda tile: tile.isNotNull()).items():
+        got, own = got.select(want.columns).cache(), want.where(F.col("type") == kind)
+        assert own.count() > 200 and got.exceptAll(own).isEmpty() and own.exceptAll(got).isEmpty(), kind
